@@ -342,8 +342,8 @@ snaps as (
   where region <> 'AFRICA' and l_returnflag <> 'N'
   group by n, y, p, code, centre),
 scored as (
-  select y, p, n, abs(sum(volume) - any_value(adjusted)) dist
-  from snaps join control using (y, p) group by y, p, n),
+  select y, p, snaps.n, abs(sum(volume) - any_value(adjusted)) dist
+  from snaps join control using (y, p) group by y, p, snaps.n),
 nearest as (
   select y, p, n, dist
   from scored qualify row_number() over (partition by y, p order by dist, n) = 1)"""
@@ -578,8 +578,9 @@ batch as (
   from ({indexed("physical")})),
 stored as (
   select code, name,
-         h + case when p between 7 and 9 and code < '010' then 0.01 when p = 10 then 0.001
-                  else 0 end h,
+         cast(h as decimal(24,3))
+         + case when p between 7 and 9 and code < '010' then 0.01 when p = 10 then 0.001
+                else 0 end h,
          k, kv, m, mv, z, zv, d - case when p between 4 and 6 then 1 else 0 end d, p, y, flag, sys,
          case when p between 7 and 9 then 2 else 1 end run
   from batch where p < 11 or (p = 11 and code < '010')),
@@ -620,7 +621,8 @@ from (
   select s.*, case when c.p is null then 'YES' else 'NO' end recent
   from stored s left join changed c on s.y = c.y and s.p = c.p
   union all
-  select b.*, case when p between 7 and 9 then 3 when p = 11 then 2 else 1 end run, 'YES'
+  select b.* replace (cast(h as decimal(24,3)) as h),
+         case when p between 7 and 9 then 3 when p = 11 then 2 else 1 end run, 'YES'
   from batch b where (y, p) in (select (y, p) from changed))"""
 
 oracle("history_append_changed", _HISTORY, *LEDGERS, BATCH)

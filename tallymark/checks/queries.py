@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.checks.standins import MISSING, YEAR_SHIFT, Samples, money
+from tallymark.checks.standins import MISSING, YEAR_SHIFT, Samples
 from tallymark.functions import fiscal, measures, text
 from tallymark.lineage import settle
 from tallymark.operators import conform
@@ -55,6 +55,13 @@ CURRENT = fiscal.FiscalPeriod(2020, 11)
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
 
+def money(col: str) -> Column:
+    return F.col(col).cast("decimal(18,2)")
+
+
+# Ledgers that a report reads twice: for its figures and for the index.
+SHARED = ("profitability", "extract", "gl_export")
+
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates as epoch days and timestamps as text, for comparison."""
@@ -227,7 +234,7 @@ def row_window_rest(s: Samples) -> DataFrame:
 
 @query("account_class_sums")
 def account_class_sums(s: Samples) -> DataFrame:
-    return conform.conform_cube(s.cube(), default_account_map(s.spark))
+    return s.ledger("cube")
 
 
 @query("account_class_outer")
@@ -257,7 +264,7 @@ def account_class_aligned(s: Samples) -> DataFrame:
 
 @query("star_rollup")
 def star_rollup(s: Samples) -> DataFrame:
-    return s.conformed_extract()
+    return s.ledger("extract")
 
 
 @query("indicator_measures")
@@ -269,7 +276,7 @@ def indicator_measures(s: Samples) -> DataFrame:
 
 @query("copa_net_measures")
 def copa_net_measures(s: Samples) -> DataFrame:
-    return conform.conform_profitability(s.profitability())
+    return s.ledger("profitability")
 
 
 @query("summary_rollup")
@@ -279,20 +286,20 @@ def summary_rollup(s: Samples) -> DataFrame:
 
 @query("summary_by_plant")
 def summary_by_plant(s: Samples) -> DataFrame:
-    return conform.conform_summary(s.summary(), s.plant())
+    return s.ledger("summary")
 
 
 @query("physical_export_rows")
 def physical_export_rows(s: Samples) -> DataFrame:
-    return conform.conform_physical_export(s.physical_export())
+    return s.ledger("physical_export")
 
 
 @query("union_reaggregate")
 def union_reaggregate(s: Samples) -> DataFrame:
-    invoiced = s.conformed_extract().select(
+    invoiced = s.ledger("extract").select(
         *KEYS, F.col("VOLUMEPHYSICAL").alias("volume"), F.col("COGS").alias("cogs")
     )
-    summarised = conform.conform_summary(s.summary(), s.plant()).select(
+    summarised = s.ledger("summary").select(
         *KEYS, F.col("ZRVOLUME").alias("volume"), F.col("ZRCOGS").alias("cogs")
     )
     return reaggregate([invoiced, summarised], KEYS, ["volume", "cogs"]).orderBy(*KEYS)
@@ -307,7 +314,7 @@ def stray_period_volume(s: Samples) -> DataFrame:
 
 
 def _controls(s: Samples) -> DataFrame:
-    return control_totals(s.conformed_extract(), period_volumes(s.extract()))
+    return control_totals(s.ledger("extract"), period_volumes(s.extract()))
 
 
 @query("control_total")
@@ -330,12 +337,12 @@ def nearest_snapshot_rows(s: Samples) -> DataFrame:
 
 @query("system_index")
 def system_index(s: Samples) -> DataFrame:
-    return index_of(s.ledgers().settled("profitability"))
+    return index_of(s.ledgers(*SHARED).settled("profitability"))
 
 
 @query("code_membership")
 def code_membership(s: Samples) -> DataFrame:
-    ledgers = s.ledgers().settled("profitability", "extract", "gl_export")
+    ledgers = s.ledgers(*SHARED).settled(*SHARED)
     not_in_view = codes_not_in(ledgers.extract, ledgers.profitability, KEYS)
     not_in_extract = codes_not_in(ledgers.profitability, ledgers.extract, KEYS)
     named = codes_in(ledgers.gl_export, not_in_view, KEYS).select(*KEYS)
@@ -351,7 +358,7 @@ def code_membership(s: Samples) -> DataFrame:
 
 
 def _aligned(s: Samples) -> DataFrame:
-    ledgers = s.ledgers()
+    ledgers = s.ledgers("profitability", "extract", "cube")
     view = ledgers.profitability.select(*KEYS, F.col("Volume").alias("view_volume"))
     extract = ledgers.extract.select(*KEYS, F.col("VOLUMEPHYSICAL").alias("extract_volume"))
     cube = ledgers.cube.select(*KEYS, F.col("Volume").alias("cube_volume"))
@@ -382,11 +389,10 @@ def variance_fallback(s: Samples) -> DataFrame:
 
 # Reports
 
-SHARED = ("profitability", "extract", "gl_export")
 
 
 def report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
-    ledgers = s.ledgers().settled(*SHARED)
+    ledgers = s.ledgers(*ledgers_of(spec)).settled(*SHARED)
     return build_report(ledgers, index_of(ledgers), spec, RUN_DATE, CLOSED)
 
 
@@ -410,29 +416,34 @@ def report_cogs(s: Samples) -> DataFrame:
     return report_of(s, specs.COGS)
 
 
+def unindexed_report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
+    ledgers = s.ledgers(*[side.ledger for side in spec.sides])
+    return build_unindexed_report(ledgers, spec, RUN_DATE, CLOSED)
+
+
 @query("report_physical_old")
 def report_physical_old(s: Samples) -> DataFrame:
-    return build_unindexed_report(s.ledgers(), specs.PHYSICAL, RUN_DATE, CLOSED)
+    return unindexed_report_of(s, specs.PHYSICAL)
 
 
 @query("report_gl_old")
 def report_gl_old(s: Samples) -> DataFrame:
-    return build_unindexed_report(s.ledgers(), specs.GL, RUN_DATE, CLOSED)
+    return unindexed_report_of(s, specs.GL)
 
 
 @query("report_nsi_old")
 def report_nsi_old(s: Samples) -> DataFrame:
-    return build_unindexed_report(s.ledgers(), specs.NSI, RUN_DATE, CLOSED)
+    return unindexed_report_of(s, specs.NSI)
 
 
 @query("report_cogs_old")
 def report_cogs_old(s: Samples) -> DataFrame:
-    return build_unindexed_report(s.ledgers(), specs.COGS, RUN_DATE, CLOSED)
+    return unindexed_report_of(s, specs.COGS)
 
 
 def _pair_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     """Every period as a closed one and as an open one, as a run in each period would."""
-    closed = s.ledgers().settled(*ledgers_of(spec))
+    closed = s.ledgers(*ledgers_of(spec)).settled()
     opened = from_nearest_snapshot(closed, s.extract(), settle(s.snapshots())).settled(
         "profitability"
     )
@@ -457,8 +468,7 @@ def period_pair_nsi(s: Samples) -> DataFrame:
 @query("latest_flag")
 def latest_flag(s: Samples) -> DataFrame:
     runs = (
-        s.lines()
-        .join(s.cost_centres(), "l_suppkey")
+        s.sales()
         .groupBy(
             F.col("year").alias(YEAR),
             F.col("period").alias(PERIOD),
@@ -531,8 +541,7 @@ def history_append_same(s: Samples) -> DataFrame:
 def distinct_merge(s: Samples) -> DataFrame:
     """Stored sheet, its dates as spreadsheet serials, merged with a batch in epoch days."""
     sales = (
-        s.lines()
-        .join(s.cost_centres(), "l_suppkey")
+        s.sales()
         .groupBy(
             F.col("year").alias(YEAR),
             F.col("period").alias(PERIOD),

@@ -8,15 +8,18 @@ a part an article, an order line an invoice line, a posting or a sale.
 Years are moved by ``YEAR_SHIFT`` so that the periods fall on both sides of the
 index rule's cut. Every system lacks one region, so that every side of an
 alignment has codes the others do not.
+
+Joins go from the lines to one table at a time. Joining the small tables to each
+other first would make Spark multiply their sizes and think the result too large
+to broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.measures import FACTOR, MONEY
-from tallymark.functions.text import period_key
 from tallymark.operators import conform
 from tallymark.plans.reports import Ledgers
 from tallymark.sources.accounts import default_account_map
@@ -31,156 +34,160 @@ MISSING = {
 }
 NO_VOLUME_REGION = "AMERICA"
 
+MONEY_SQL, FACTOR_SQL = MONEY.simpleString(), FACTOR.simpleString()
+FISCAL_KEY = "concat(year, '0', lpad(period, 2, '0'))"
+MATERIAL_GROUP = "case l_returnflag when 'A' then '11' when 'R' then '18' else '30' end"
+
 
 class Samples:
-    """Readers of the sample tables in one folder."""
+    """The sample tables of one folder, as extracts and as conformed ledgers."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    def cost_centres(self, without: str | None = None) -> DataFrame:
-        """Warehouse, code, name and region; optionally without one region."""
-        regions = self.table("region")
-        if without is not None:
-            regions = regions.where(F.col("r_name") != without)
-        nations = self.table("nation").join(
-            regions, F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        return self.table("supplier").join(
-            nations, F.col("s_nationkey") == F.col("n_nationkey")
-        ).select(
-            F.col("s_suppkey").alias("l_suppkey"),
-            F.lpad(F.col("s_nationkey").cast("string"), 3, "0").alias("code"),
-            F.col("n_name").alias("centre"),
-            F.col("r_name").alias("region"),
+        """A sample table; its schema is read from the file once."""
+        if name not in self.tables:
+            self.tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.tables[name]
+
+    def warehouses(self, without: str | None = None) -> DataFrame:
+        """Supplier and nation keys, optionally without the suppliers of one region."""
+        suppliers = self.table("supplier").selectExpr("s_suppkey l_suppkey", "s_nationkey")
+        if without is None:
+            return suppliers
+        covered = self.table("nation").join(
+            self.table("region").where(F.col("r_name") != without),
+            F.expr("n_regionkey = r_regionkey"),
+            "left_semi",
         )
+        return suppliers.join(covered, F.expr("s_nationkey = n_nationkey"), "left_semi")
 
     def lines(self) -> DataFrame:
         """Order lines with exact amounts and their fiscal year and period."""
-        shipped = F.col("l_shipdate").cast("date")
-        net, tax = money("l_extendedprice"), money("l_tax")
-        return self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",
-            shipped.alias("shipped"),
-            (F.year(shipped) + YEAR_SHIFT).alias("year"),
-            F.month(shipped).alias("period"),
-            money("l_quantity").alias("quantity"),
-            net.alias("amount"),
-            (net * money("l_discount")).cast(MONEY).alias("discount"),
-            (net * tax).cast(MONEY).alias("cost"),
+        return self.table("lineitem").selectExpr(
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            "l_returnflag",
+            "l_linestatus",
+            "cast(l_shipdate as date) shipped",
+            f"year(l_shipdate) + {YEAR_SHIFT} year",
+            "month(l_shipdate) period",
+            "cast(l_quantity as decimal(18,2)) quantity",
+            "cast(l_extendedprice as decimal(18,2)) amount",
+            "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(4,2))"
+            f" as {MONEY_SQL}) discount",
+            "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2))"
+            f" as {MONEY_SQL}) cost",
         )
 
+    def sales(self, without: str | None = None) -> DataFrame:
+        """Order lines with the code, name and region key of their cost centre."""
+        nations = self.table("nation").selectExpr(
+            "n_nationkey s_nationkey", "n_name centre", "n_regionkey"
+        )
+        lines = self.lines().join(self.warehouses(without), "l_suppkey")
+        coded = lines.withColumn("code", F.expr("lpad(s_nationkey, 3, '0')"))
+        return coded.join(nations, "s_nationkey")
+
     # Landed extracts
 
     def calendar(self) -> DataFrame:
-        ordered = F.add_months(F.col("o_orderdate").cast("date"), 12 * YEAR_SHIFT)
-        return self.table("orders").select(ordered.alias("USADAT")).distinct().select(
-            F.month("USADAT").alias("PERIOD"), "USADAT"
-        )
+        ordered = f"add_months(cast(o_orderdate as date), {12 * YEAR_SHIFT})"
+        days = self.table("orders").selectExpr(f"{ordered} USADAT").distinct()
+        return days.selectExpr("month(USADAT) PERIOD", "USADAT")
 
     def plant(self, without: str | None = None) -> DataFrame:
-        return self.cost_centres(without).select(
-            F.col("l_suppkey").cast("string").alias("WHS"), F.rpad("code", 6, " ").alias("PLNT")
+        return self.warehouses(without).selectExpr(
+            "cast(l_suppkey as string) WHS", "rpad(lpad(s_nationkey, 3, '0'), 6, ' ') PLNT"
         )
 
     def article(self) -> DataFrame:
         """Articles with today's factor, and an outdated one for the large sizes."""
-        pack = value_by(
-            "p_type",
-            {"STANDARD": "1999", "ECONOMY": "2999", "MEDIUM": "3999", "SMALL": "4999",
-             "PROMO": "6999"},
-            "7999",
+        current = self.table("part").selectExpr(
+            "cast(p_partkey as string) AM01_ARTNUM",
+            f"cast(p_size * 0.125BD as {FACTOR_SQL}) AM01_ARTCNVFAC2",
+            """case p_type when 'STANDARD' then '1999' when 'ECONOMY' then '2999'
+               when 'MEDIUM' then '3999' when 'SMALL' then '4999' when 'PROMO' then '6999'
+               else '7999' end AMBCPPGRP""",
+            "p_brand COMATASGP",
+            f"{conform.CURRENT_EFFECTIVE_DATE} AM01_EFTDAT",
         )
-        parts = self.table("part")
-        size = F.col("p_size").cast(FACTOR)
-        current = parts.select(
-            F.col("p_partkey").cast("string").alias("AM01_ARTNUM"),
-            (size / 8).cast(FACTOR).alias("AM01_ARTCNVFAC2"),
-            pack.alias("AMBCPPGRP"),
-            F.col("p_brand").alias("COMATASGP"),
-            F.lit(conform.CURRENT_EFFECTIVE_DATE).alias("AM01_EFTDAT"),
-        )
-        outdated = current.where(F.col("AM01_ARTCNVFAC2") > 5).withColumns(
-            {"AM01_ARTCNVFAC2": F.lit(1).cast(FACTOR), "AM01_EFTDAT": F.lit(1171231)}
+        outdated = current.where("AM01_ARTCNVFAC2 > 5").selectExpr(
+            "AM01_ARTNUM", f"cast(1 as {FACTOR_SQL}) AM01_ARTCNVFAC2", "AMBCPPGRP", "COMATASGP",
+            "1171231 AM01_EFTDAT",
         )
         return current.unionByName(outdated)
 
     def adjustment_type(self) -> DataFrame:
-        key = F.col("r_regionkey")
-        kind = F.when(key == 0, "A").when(key == 1, "R").when(key == 2, "N")
-        return self.table("region").select(
-            kind.otherwise(F.concat(F.lit("X"), key.cast("string"))).alias("ADJTYP"),
-            key.cast("string").alias("ADJCLS"),
+        return self.table("region").selectExpr(
+            """case r_regionkey when 0 then 'A' when 1 then 'R' when 2 then 'N'
+               else concat('X', r_regionkey) end ADJTYP""",
+            "cast(r_regionkey as string) ADJCLS",
         )
 
     def extract(self) -> DataFrame:
-        posted = F.date_add("shipped", 2)
-        value_field = {1: "76", 2: "10", 3: "78", 4: "11", 5: "99", 6: "84"}
-        invoice_class = {1: "01", 2: "50", 3: "W1", 4: "W4", 5: "W3", 6: "00"}
-        return self.lines().select(
-            F.col("l_partkey").cast("string").alias("RSMATL"),
-            F.col("l_suppkey").cast("string").alias("RSWHR"),
-            value_by("l_linenumber", value_field, "63").alias("RSAVV#"),
-            F.date_format("shipped", "yyyyMMdd").cast("int").alias("RSDAT"),
-            F.col("l_partkey").cast("string").alias("RSART"),
-            material_group().alias("RSMASG"),
-            value_by("l_linenumber", invoice_class, "51").alias("RSCLS"),
-            F.col("l_returnflag").alias("RSATP"),
-            period_key(F.year(posted) + YEAR_SHIFT, F.month(posted)).alias("RSPERD"),
-            F.col("quantity").alias("RSQTY"),
-            F.col("amount").alias("RSSALTOT"),
-            F.col("cost").alias("RSCOGTOT"),
-            F.col("discount").alias("RSAVVTOT"),
-            F.col("quantity").alias("RSSPCQTY"),
-            F.col("discount").alias("RSEXAM"),
+        posted = "date_add(shipped, 2)"
+        return self.lines().selectExpr(
+            "cast(l_partkey as string) RSMATL",
+            "cast(l_suppkey as string) RSWHR",
+            """case l_linenumber when 1 then '76' when 2 then '10' when 3 then '78'
+               when 4 then '11' when 5 then '99' when 6 then '84' else '63' end `RSAVV#`""",
+            "cast(date_format(shipped, 'yyyyMMdd') as int) RSDAT",
+            "cast(l_partkey as string) RSART",
+            f"{MATERIAL_GROUP} RSMASG",
+            """case l_linenumber when 1 then '01' when 2 then '50' when 3 then 'W1'
+               when 4 then 'W4' when 5 then 'W3' when 6 then '00' else '51' end RSCLS""",
+            "l_returnflag RSATP",
+            f"concat(year({posted}) + {YEAR_SHIFT}, lpad(month({posted}), 3, '0')) RSPERD",
+            "quantity RSQTY",
+            "amount RSSALTOT",
+            "cost RSCOGTOT",
+            "discount RSAVVTOT",
+            "quantity RSSPCQTY",
+            "discount RSEXAM",
             "year",
             "period",
         )
 
     def cube(self) -> DataFrame:
-        family = {1: "899301", 2: "899301", 3: "505201", 4: "505401", 5: "305701", 6: "405506"}
-        product = F.col("quantity").cast("int") + 460
-        centre = F.concat("code", F.lit("0000"))
-        return self.lines().join(self.cost_centres(MISSING["cube"]), "l_suppkey").select(
-            F.when(F.col("quantity") < 50, centre).alias("COSTCENTER"),
-            F.concat(value_by("l_linenumber", family, "999999"), product.cast("string")).alias(
-                "COSTELMNT"
-            ),
-            F.when(F.col("l_returnflag") == "N", 20).otherwise(10).alias("VTYPE"),
-            F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("VERSION"),
-            (-F.col("amount")).cast(MONEY).alias("AMOUNT"),
-            F.col("quantity").alias("QUANTITY"),
-            period_key("year", "period").alias("FISCPER"),
+        return self.sales(MISSING["cube"]).selectExpr(
+            "case when quantity < 50 then concat(code, '0000') end COSTCENTER",
+            """concat(case l_linenumber when 1 then '899301' when 2 then '899301'
+               when 3 then '505201' when 4 then '505401' when 5 then '305701'
+               when 6 then '405506' else '999999' end, cast(quantity as int) + 460) COSTELMNT""",
+            "if(l_returnflag = 'N', 20, 10) VTYPE",
+            "if(l_linestatus = 'F', 0, 1) VERSION",
+            f"cast(-amount as {MONEY_SQL}) AMOUNT",
+            "quantity QUANTITY",
+            f"{FISCAL_KEY} FISCPER",
         )
 
     def profitability(self) -> DataFrame:
         """Profitability view; the value fields share out a line's cost and discount."""
-        centres = self.cost_centres(MISSING["profitability"])
-        line = F.col("l_linenumber")
 
-        def shared(fields: tuple[str, ...], amount: str) -> list[Column]:
-            zero = F.lit(0).cast(MONEY)
+        def shared(fields: tuple[str, ...], amount: str) -> list[str]:
             return [
-                F.when(line == n, F.col(amount)).otherwise(zero).alias(f"{field}Share")
+                f"if(l_linenumber = {n}, {amount}, cast(0 as {MONEY_SQL})) {field}Share"
                 for n, field in enumerate(fields, start=1)
             ]
 
-        no_volume = F.col("region") == NO_VOLUME_REGION
-        return self.lines().join(centres, "l_suppkey").select(
-            F.col("centre").alias("ProfitCenterText"),
-            F.concat(F.lit("P100"), "code").alias("ProfitCenter"),
-            period_key("year", "period").alias("FiscalYearPeriod"),
-            material_group().alias("MaterialAccountAssignmentGroup"),
-            F.when(no_volume, 0).otherwise(F.col("quantity")).cast(MONEY).alias("VV998QCases"),
-            F.col("amount").alias("ERLOSRevenue"),
-            F.col("cost").alias("VV004Upcharge"),
+        regions = self.table("region").selectExpr("r_regionkey n_regionkey", "r_name")
+        volume = f"if(r_name = '{NO_VOLUME_REGION}', 0BD, quantity)"
+        return self.sales(MISSING["profitability"]).join(regions, "n_regionkey").selectExpr(
+            "centre ProfitCenterText",
+            "concat('P100', code) ProfitCenter",
+            f"{FISCAL_KEY} FiscalYearPeriod",
+            f"{MATERIAL_GROUP} MaterialAccountAssignmentGroup",
+            f"cast({volume} as {MONEY_SQL}) VV998QCases",
+            "amount ERLOSRevenue",
+            "cost VV004Upcharge",
             *shared(conform.VIEW_COGS, "cost"),
             *shared(conform.VIEW_DISCOUNT, "discount"),
-            F.col("shipped").alias("shipped"),
+            "shipped",
         )
 
     def snapshots(self) -> DataFrame:
@@ -188,7 +195,7 @@ class Samples:
 
         Weeks are summed first; only those sums are repeated for the later snapshots.
         """
-        week = F.least(F.ceil(F.dayofmonth("shipped") / 7), F.lit(4)).cast("int")
+        week = F.expr("cast(least(ceil(dayofmonth(shipped) / 7), 4) as int)")
         weekly = conform.conform_profitability(
             self.profitability().withColumn("week", week), "week"
         )
@@ -201,97 +208,82 @@ class Samples:
             .agg(*[F.sum(c).cast(MONEY).alias(c) for c in figures])
         )
 
-    def _export(self, figures: dict[str, Column]) -> DataFrame:
+    def _export(self, figures: dict[str, str]) -> DataFrame:
         """An exported report: one line per cost centre and one of totals per period."""
-        sold = self.lines().where(F.col("l_returnflag") != "N")
-        keys = [F.col("year").alias("YEAR"), F.col("period").alias("PERIOD")]
-        centres = (
-            sold.join(self.cost_centres(MISSING["exports"]), "l_suppkey")
-            .groupBy(*keys, "centre", "code")
-            .agg(*[F.sum(c).alias(name) for name, c in figures.items()])
+        sold = self.sales(MISSING["exports"]).where("l_returnflag <> 'N'")
+        centres = sold.groupBy("year", "period", "centre", "code").agg(
+            *[F.expr(f"sum({sql})").alias(name) for name, sql in figures.items()]
         )
-        totals = centres.groupBy("YEAR", "PERIOD").agg(
+        totals = centres.groupBy("year", "period").agg(
             *[F.sum(f"`{name}`").alias(name) for name in figures]
         )
-        lines = centres.withColumnsRenamed(
-            {"centre": "Act.Cost.Cntr", "code": "Act.Cost.Cntr.host.code"}
-        )
-        return lines.unionByName(
-            totals.withColumns(
-                {"Act.Cost.Cntr": F.lit("Totals"), "Act.Cost.Cntr.host.code": F.lit(None).cast("string")}
-            )
+        lines = centres.unionByName(
+            totals.withColumns({"centre": F.lit("Totals"), "code": F.lit(None).cast("string")})
         )
+        headers = {
+            "year": "YEAR", "period": "PERIOD",
+            "centre": "Act.Cost.Cntr", "code": "Act.Cost.Cntr.host.code",
+        }
+        return lines.withColumnsRenamed(headers)
 
     def gl_export(self) -> DataFrame:
-        amount, discount, cost = F.col("amount"), F.col("discount"), F.col("cost")
         return self._export(
             {
-                "Total.Gross.Vol": F.col("quantity"),
-                "NSI.Simple": amount - discount,
-                "[Cona.NSI.Simple]$Cona_Sales": amount,
-                "NSI": amount - cost,
-                "COGS.Simple": cost,
+                "Total.Gross.Vol": "quantity",
+                "NSI.Simple": "amount - discount",
+                "[Cona.NSI.Simple]$Cona_Sales": "amount",
+                "NSI": "amount - cost",
+                "COGS.Simple": "cost",
             }
         )
 
     def physical_export(self) -> DataFrame:
-        return self._export({"Vol.Gross.Sales.Volume": F.col("quantity")})
+        return self._export({"Vol.Gross.Sales.Volume": "quantity"})
 
     def summary(self) -> DataFrame:
         """Sales summary; some part types are the products it leaves out."""
-        left_out = {"PROMO": "OTH CUPS", "SMALL": "OTH CO2 FULL ", "LARGE": "OTH STRAWS  "}
-        parts = self.table("part").select(
-            F.col("p_partkey").alias("l_partkey"),
+        parts = self.table("part").selectExpr(
+            "p_partkey l_partkey",
             "p_size",
-            value_by("p_type", left_out, F.col("p_name")).alias("PRDDESC"),
+            """case p_type when 'PROMO' then 'OTH CUPS' when 'SMALL' then 'OTH CO2 FULL '
+               when 'LARGE' then 'OTH STRAWS  ' else p_name end PRDDESC""",
         )
-        zero_volume = F.col("l_returnflag") == "N"
-        centres = self.cost_centres(MISSING["summary"]).select("l_suppkey")
-        return (
-            self.lines()
-            .join(centres, "l_suppkey", "left_semi")
-            .join(parts, "l_partkey")
-            .select(
-                F.col("l_suppkey").cast("string").alias("RSWHR"),
-                "PRDDESC",
-                F.when(zero_volume, 0).otherwise(F.col("quantity")).cast(MONEY).alias("VOLPHYBCPP"),
-                (F.col("quantity") * F.col("p_size")).cast(MONEY).alias("VOLGLUBCPP"),
-                (F.col("amount") - F.col("discount")).cast(MONEY).alias("NSISM"),
-                F.col("cost").alias("COGBCPP"),
-                F.col("year").alias("fiscal_year"),
-                F.col("period").alias("PERIOD"),
-            )
+        covered = self.warehouses(MISSING["summary"])
+        return self.lines().join(covered, "l_suppkey", "left_semi").join(
+            parts, "l_partkey"
+        ).selectExpr(
+            "cast(l_suppkey as string) RSWHR",
+            "PRDDESC",
+            f"cast(if(l_returnflag = 'N', 0BD, quantity) as {MONEY_SQL}) VOLPHYBCPP",
+            f"cast(quantity * p_size as {MONEY_SQL}) VOLGLUBCPP",
+            f"cast(amount - discount as {MONEY_SQL}) NSISM",
+            "cost COGBCPP",
+            "year fiscal_year",
+            "period PERIOD",
         )
 
     # Conformed ledgers
 
-    def conformed_extract(self) -> DataFrame:
-        return conform.conform_extract(
-            self.extract(), self.plant(MISSING["extract"]), self.article(), self.adjustment_type()
-        )
-
-    def ledgers(self) -> Ledgers:
-        return Ledgers(
-            profitability=conform.conform_profitability(self.profitability()),
-            extract=self.conformed_extract(),
-            cube=conform.conform_cube(self.cube(), default_account_map(self.spark)),
-            gl_export=conform.conform_gl_export(self.gl_export()),
-            physical_export=conform.conform_physical_export(self.physical_export()),
-            summary=conform.conform_summary(self.summary(), self.plant()),
-        )
-
-
-def money(col: str) -> Column:
-    return F.col(col).cast("decimal(18,2)")
-
-
-def value_by(col: str, values: dict, default: Column | str) -> Column:
-    """A value chosen by a column's value."""
-    chosen = default if isinstance(default, Column) else F.lit(default)
-    for key, value in values.items():
-        chosen = F.when(F.col(col) == key, F.lit(value)).otherwise(chosen)
-    return chosen
-
-
-def material_group() -> Column:
-    return value_by("l_returnflag", {"A": "11", "R": "18"}, "30")
+    def ledger(self, name: str) -> DataFrame:
+        """One conformed ledger."""
+        if name == "profitability":
+            return conform.conform_profitability(self.profitability())
+        if name == "extract":
+            return conform.conform_extract(
+                self.extract(), self.plant(MISSING["extract"]), self.article(),
+                self.adjustment_type(),
+            )
+        if name == "cube":
+            return conform.conform_cube(self.cube(), default_account_map(self.spark))
+        if name == "gl_export":
+            return conform.conform_gl_export(self.gl_export())
+        if name == "physical_export":
+            return conform.conform_physical_export(self.physical_export())
+        if name == "summary":
+            return conform.conform_summary(self.summary(), self.plant())
+        raise KeyError(name)
+
+    def ledgers(self, *names: str) -> Ledgers:
+        """The named ledgers (all by default)."""
+        wanted = names or Ledgers._fields
+        return Ledgers(**{name: self.ledger(name) for name in wanted})

@@ -17,14 +17,17 @@ from tallymark.plans.specs import REPORTS, ReportSpec, Side
 
 
 class Ledgers(NamedTuple):
-    """The conformed frames of the five systems, keyed by year, period and code."""
+    """The conformed frames of the five systems, keyed by year, period and code.
 
-    profitability: DataFrame
-    extract: DataFrame
-    cube: DataFrame
-    gl_export: DataFrame
-    physical_export: DataFrame
-    summary: DataFrame
+    A plan that needs only some of them may leave the others out.
+    """
+
+    profitability: DataFrame | None = None
+    extract: DataFrame | None = None
+    cube: DataFrame | None = None
+    gl_export: DataFrame | None = None
+    physical_export: DataFrame | None = None
+    summary: DataFrame | None = None
 
     def settled(self, *names: str) -> Ledgers:
         """Compute the named ledgers once (all by default) for the plans that share them.
@@ -32,7 +35,8 @@ class Ledgers(NamedTuple):
         A report reads a ledger for its figures and, through the index, for its codes.
         Left lazy, each use would scan that system's whole extract again.
         """
-        return self._replace(**{n: settle(getattr(self, n)) for n in names or self._fields})
+        present = [n for n in names or self._fields if getattr(self, n) is not None]
+        return self._replace(**{n: settle(getattr(self, n)) for n in present})
 
 
 def ledgers_of(spec: ReportSpec) -> list[str]:
