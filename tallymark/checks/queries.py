@@ -392,7 +392,7 @@ def variance_fallback(s: Samples) -> DataFrame:
 
 
 def report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
-    ledgers = s.ledgers(*ledgers_of(spec)).settled(*SHARED)
+    ledgers = s.ledgers(*ledgers_of(spec)).settled()
     return build_report(ledgers, index_of(ledgers), spec, RUN_DATE, CLOSED)
 
 

@@ -24,25 +24,37 @@ def as_column(col: ColumnLike) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def total(col: ColumnLike) -> Column:
+def total(col: str) -> Column:
     """SUM that skips nulls and is null over no rows."""
-    return F.sum(as_column(col).cast(MONEY)).cast(MEASURE)
+    return _sum_as_measure(_money(col))
 
 
-def total_of_product(amount: ColumnLike, factor: ColumnLike) -> Column:
-    product = as_column(amount).cast(MONEY) * as_column(factor).cast(FACTOR)
-    return F.sum(product).cast(MEASURE)
+def total_of_product(amount: str, factor: str) -> Column:
+    return _sum_as_measure(f"{_money(amount)} * cast(`{factor}` as {FACTOR.simpleString()})")
 
 
-def total_where(condition: Column, col: ColumnLike) -> Column:
+def total_where(condition: str, col: str) -> Column:
     """SUM over the rows that meet a condition; 0 where none does."""
-    amount = as_column(col).cast(MONEY)
-    return F.sum(F.when(condition, amount).otherwise(F.lit(0).cast(MONEY))).cast(MEASURE)
+    return _sum_as_measure(f"case when {condition} then {_money(col)} else 0BD end")
 
 
-def total_only_where(condition: Column, col: ColumnLike) -> Column:
+def total_only_where(condition: str, col: str) -> Column:
     """SUM over the rows that meet a condition; null where none does."""
-    return F.sum(F.when(condition, as_column(col).cast(MONEY))).cast(MEASURE)
+    return _sum_as_measure(f"case when {condition} then {_money(col)} end")
+
+
+def _money(col: str) -> str:
+    return f"cast(`{col}` as {MONEY.simpleString()})"
+
+
+def _sum_as_measure(amount: str) -> Column:
+    return F.expr(f"cast(sum({amount}) as {MEASURE.simpleString()})")
+
+
+def one_of(col: str, values: Iterable[str]) -> str:
+    """SQL condition: the column holds one of the texts."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"`{col}` in ({listed})"
 
 
 def indicator(condition: Column) -> Column:

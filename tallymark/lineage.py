@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+_naming = threading.Lock()
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the checkpoint folder the cluster names; make one only in local mode."""
@@ -27,5 +30,6 @@ def settle(df: DataFrame) -> DataFrame:
     the scan beneath may be the whole extract. The rows are on reliable storage, so
     losing an executor costs a re-read, not a re-scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    with _naming:
+        ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -16,6 +16,7 @@ from tallymark.functions.measures import (
     MEASURE,
     MONEY,
     indicator,
+    one_of,
     total,
     total_of_product,
     total_only_where,
@@ -55,9 +56,7 @@ def conform_cube(cube: DataFrame, account_map: DataFrame) -> DataFrame:
     A code with no posting of a class has null there.
     """
     postings = cube.where(
-        (F.col("VTYPE") == CUBE_VALUE_TYPE)
-        & (F.col("VERSION") == CUBE_VERSION)
-        & F.col("COSTCENTER").isNotNull()
+        f"VTYPE = {CUBE_VALUE_TYPE} and VERSION = {CUBE_VERSION} and COSTCENTER is not null"
     ).select(
         key_year("FISCPER").alias(YEAR),
         key_period("FISCPER").alias(PERIOD),
@@ -66,32 +65,30 @@ def conform_cube(cube: DataFrame, account_map: DataFrame) -> DataFrame:
         "AMOUNT",
     )
     classes = account_map.dropDuplicates(["element"])
-    account_class = F.col("account_class")
+
+    def of_class(account_class: str) -> Column:
+        return total_only_where(f"account_class = '{account_class}'", "AMOUNT")
+
     return (
         _with_code(postings)
         .join(classes, "element")
         .groupBy(*KEYS)
         .agg(
-            total_only_where(account_class == accounts.VOLUME, "AMOUNT").alias("Volume"),
-            total_only_where(account_class == accounts.COGS, "AMOUNT").alias("COGS"),
-            total_only_where(account_class == accounts.NSI, "AMOUNT").alias("NSI"),
+            of_class(accounts.VOLUME).alias("Volume"),
+            of_class(accounts.COGS).alias("COGS"),
+            of_class(accounts.NSI).alias("NSI"),
         )
     )
 
 
-def _invoice_class() -> Column:
-    first, second = INVOICE_CLASS_RANGES
-    return F.col("RSCLS").between(*first) | F.col("RSCLS").between(*second)
-
-
 def _current_articles(article: DataFrame) -> DataFrame:
-    return article.where(F.col("AM01_EFTDAT") == CURRENT_EFFECTIVE_DATE).select(
-        F.col("AM01_ARTNUM").alias("RSART"), "AM01_ARTCNVFAC2", "AMBCPPGRP"
+    return article.where(f"AM01_EFTDAT = {CURRENT_EFFECTIVE_DATE}").selectExpr(
+        "AM01_ARTNUM RSART", "AM01_ARTCNVFAC2", "AMBCPPGRP"
     )
 
 
 def _plants(plant: DataFrame) -> DataFrame:
-    return plant.select(F.col("WHS").alias("RSWHR"), F.trim("PLNT").alias(CODE))
+    return plant.selectExpr("WHS RSWHR", f"trim(PLNT) {CODE}")
 
 
 def invoice_lines(
@@ -102,13 +99,12 @@ def invoice_lines(
     The two ranges do not overlap, so one scan with an OR takes the place of two
     scans whose sums are added afterwards.
     """
-    adjustments = adjustment_type.where(F.col("ADJCLS").isin(*ADJUSTMENT_CLASSES)).select(
-        F.col("ADJTYP").alias("RSATP")
-    )
+    adjustments = adjustment_type.where(one_of("ADJCLS", ADJUSTMENT_CLASSES))
+    in_ranges = " or ".join(f"RSCLS between '{a}' and '{b}'" for a, b in INVOICE_CLASS_RANGES)
     lines = (
-        extract.where(_invoice_class())
+        extract.where(in_ranges)
         .withColumnsRenamed({"year": YEAR, "period": PERIOD})
-        .join(adjustments, "RSATP")
+        .join(adjustments.selectExpr("ADJTYP RSATP"), "RSATP")
         .join(_plants(plant), "RSWHR")
         .join(_current_articles(article), "RSART")
     )
@@ -120,12 +116,13 @@ def conform_extract(
 ) -> DataFrame:
     """Invoice extract: two volumes, net sales by two discount sources, COGS."""
     lines = invoice_lines(extract, plant, article, adjustment_type)
-    discount = total_where(F.col("RSAVV#").isin(*DISCOUNT_VALUE_FIELDS), "RSAVVTOT")
+    sales = total("RSSALTOT")
+    discount = total_where(one_of("RSAVV#", DISCOUNT_VALUE_FIELDS), "RSAVVTOT")
     return lines.groupBy(*KEYS).agg(
         total("RSQTY").alias("VOLUMEPHYSICAL"),
         total_of_product("RSQTY", "AM01_ARTCNVFAC2").alias("VOLUMEGLUNIT"),
-        (total("RSSALTOT") - discount).cast(MEASURE).alias("NSIAVV"),
-        (total("RSSALTOT") - total("RSEXAM")).cast(MEASURE).alias("NSIRSEXAM"),
+        (sales - discount).cast(MEASURE).alias("NSIAVV"),
+        (sales - total("RSEXAM")).cast(MEASURE).alias("NSIRSEXAM"),
         total("RSCOGTOT").alias("COGS"),
     )
 
@@ -160,8 +157,8 @@ def conform_extract_by_group(
         .join(_plants(plant), "RSWHR")
         .join(_current_articles(article), "RSART")
     )
-    by_material = F.col("RSMASG").isin(*MATERIAL_GROUPS)
-    by_pack = F.col("AMBCPPGRP").isin(*PACK_GROUPS)
+    by_material = one_of("RSMASG", MATERIAL_GROUPS)
+    by_pack = F.expr(one_of("AMBCPPGRP", PACK_GROUPS))
 
     def of_material(col: str) -> Column:
         return total_only_where(by_material, col)
@@ -174,19 +171,19 @@ def conform_extract_by_group(
             gl_units.cast(MEASURE).alias("VOLUMEGLUNIT"),
             (of_material("RSSALTOT") - of_material("DISC")).cast(MEASURE).alias("NSI"),
             of_material("COGS").alias("COGS"),
-            F.count_if(by_material).alias("material_lines"),
+            F.count_if(F.expr(by_material)).alias("material_lines"),
         )
         .where(F.col("material_lines") > 0)
         .drop("material_lines")
     )
 
 
-def _view_column(df: DataFrame, field: str) -> Column:
+def _view_column(df: DataFrame, field: str) -> str:
     """A value field's column, found by its number; the text after it is a label."""
     found = [c for c in df.columns if c.upper().startswith(field)]
     if len(found) != 1:
         raise ValueError(f"value field {field} has {len(found)} columns in the view")
-    return F.col(f"`{found[0]}`")
+    return found[0]
 
 
 def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
@@ -195,7 +192,7 @@ def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
     ``also_by`` adds columns of the view to the grouping.
     """
     codes = _with_code(
-        view.where(F.col("MaterialAccountAssignmentGroup").isin(*MATERIAL_GROUPS)).withColumns(
+        view.where(one_of("MaterialAccountAssignmentGroup", MATERIAL_GROUPS)).withColumns(
             {
                 YEAR: key_year("FiscalYearPeriod"),
                 PERIOD: key_period("FiscalYearPeriod"),
@@ -204,22 +201,22 @@ def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
             }
         )
     )
-
-    def sum_of(fields: tuple[str, ...]) -> Column:
-        first, *others = [total(_view_column(view, f)) for f in fields]
-        for term in others:
-            first = first + term
-        return first.cast(MEASURE)
-
-    wholesale, discount = sum_of(VIEW_WHOLESALE), sum_of(VIEW_DISCOUNT)
-    return codes.groupBy(*KEYS, NAME, *also_by).agg(
-        total(_view_column(view, VIEW_VOLUME)).alias("Volume"),
-        wholesale.alias("Wholesale"),
-        sum_of(VIEW_COGS).alias("COGS"),
-        discount.alias("DISC"),
-        (wholesale - discount).cast(MEASURE).alias("NSI"),
+    fields = {f: _view_column(view, f) for f in (VIEW_VOLUME, *VIEW_WHOLESALE, *VIEW_COGS, *VIEW_DISCOUNT)}
+    sums = codes.groupBy(*KEYS, NAME, *also_by).agg(
+        *[total(column).alias(field) for field, column in fields.items()]
     )
 
+    def added(fields: tuple[str, ...]) -> str:
+        return f"cast({' + '.join(fields)} as {MEASURE.simpleString()})"
+
+    return sums.selectExpr(
+        *KEYS, NAME, *also_by,
+        f"{VIEW_VOLUME} Volume",
+        f"{added(VIEW_WHOLESALE)} Wholesale",
+        f"{added(VIEW_COGS)} COGS",
+        f"{added(VIEW_DISCOUNT)} DISC",
+    ).withColumn("NSI", F.expr(f"cast(Wholesale - DISC as {MEASURE.simpleString()})"))
+
 
 def conform_snapshot(snapshots: DataFrame) -> DataFrame:
     """Rows of a profitability snapshot under the names of the conformed view."""
@@ -243,10 +240,10 @@ def conform_summary(summary: DataFrame, plant: DataFrame, by_warehouse: bool = F
     grain; joined to a report it repeats the cost centre once per warehouse.
     """
     # Fixed-width text: the origin ignores trailing blanks when it compares.
-    described = ~F.rtrim("PRDDESC").isin(*LEFT_OUT_PRODUCTS)
+    left_out = ", ".join(f"'{product}'" for product in LEFT_OUT_PRODUCTS)
     warehouses = (
         _with_code(
-            summary.where(described)
+            summary.where(f"rtrim(PRDDESC) not in ({left_out})")
             .withColumnRenamed("fiscal_year", YEAR)
             .join(_plants(plant), "RSWHR")
         )

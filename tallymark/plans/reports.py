@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -33,10 +34,13 @@ class Ledgers(NamedTuple):
         """Compute the named ledgers once (all by default) for the plans that share them.
 
         A report reads a ledger for its figures and, through the index, for its codes.
-        Left lazy, each use would scan that system's whole extract again.
+        Left lazy, each use would scan that system's whole extract again. The systems
+        do not depend on each other, so their jobs run side by side.
         """
         present = [n for n in names or self._fields if getattr(self, n) is not None]
-        return self._replace(**{n: settle(getattr(self, n)) for n in present})
+        with ThreadPoolExecutor(max_workers=len(present)) as pool:
+            settled = list(pool.map(settle, [getattr(self, n) for n in present]))
+        return self._replace(**dict(zip(present, settled)))
 
 
 def ledgers_of(spec: ReportSpec) -> list[str]:
