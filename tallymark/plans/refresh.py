@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,11 +76,15 @@ def refresh(
         only(current), zone.extract([current]), zone.snapshots([current])
     ).settled("profitability")
     run_id = run_id or run_ts.strftime("%Y%m%dT%H%M%S")
-    added = {}
-    for name, (ended, running) in period_pair(only(prior), opened, run_date).items():
-        both_periods = ended.unionByName(running)
-        added[name] = store.append(name, both_periods, run_id, run_date, run_ts)
-    return added
+    pairs = period_pair(only(prior), opened, run_date)
+
+    def append(name: str) -> int:
+        ended, running = pairs[name]
+        return store.append(name, ended.unionByName(running), run_id, run_date, run_ts)
+
+    # The four tables do not depend on each other.
+    with ThreadPoolExecutor(max_workers=len(pairs)) as pool:
+        return dict(zip(pairs, pool.map(append, pairs)))
 
 
 def refresh_sheets(

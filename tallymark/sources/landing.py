@@ -61,7 +61,9 @@ class LandingZone:
     def profitability(self, periods: Periods = None, currency_type: str = "10") -> DataFrame:
         """The profitability view; its parameter is a filter on the landed rows."""
         rows = self.table("profitability").where(F.col("CurrencyType") == currency_type)
-        return rows.where(fiscal_keys("FiscalYearPeriod", periods))
+        kept = rows.where(fiscal_keys("FiscalYearPeriod", periods))
+        # A partition value is read back as a number.
+        return kept.withColumn("FiscalYearPeriod", F.col("FiscalYearPeriod").cast("string"))
 
     def snapshots(self, periods: Periods = None) -> DataFrame:
         """Numbered snapshots of the profitability figures, one partition per number."""
