@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallymark.checks.standins import MISSING, YEAR_SHIFT, Samples
 from tallymark.functions import fiscal, measures, text
-from tallymark.lineage import settle
+from tallymark.lineage import settle, settle_all
 from tallymark.operators import conform
 from tallymark.operators.align import codes_in, codes_not_in, full_outer_align
 from tallymark.operators.control import (
@@ -329,7 +329,7 @@ def nearest_snapshot_number(s: Samples) -> DataFrame:
 
 @query("nearest_snapshot")
 def nearest_snapshot_rows(s: Samples) -> DataFrame:
-    return nearest_snapshot(settle(s.snapshots()), _controls(s))
+    return nearest_snapshot(*settle_all([s.snapshots(), _controls(s)]))
 
 
 # Alignment
@@ -443,10 +443,12 @@ def report_cogs_old(s: Samples) -> DataFrame:
 
 def _pair_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     """Every period as a closed one and as an open one, as a run in each period would."""
-    closed = s.ledgers(*ledgers_of(spec)).settled()
-    opened = from_nearest_snapshot(closed, s.extract(), settle(s.snapshots())).settled(
-        "profitability"
+    names = ledgers_of(spec)
+    *settled, volumes, snapshots = settle_all(
+        [*[s.ledger(n) for n in names], period_volumes(s.extract()), s.snapshots()]
     )
+    closed = Ledgers(**dict(zip(names, settled)))
+    opened = from_nearest_snapshot(closed, volumes, snapshots).settled("profitability")
     ended = build_report(closed, index_of(closed), spec, RUN_DATE, CLOSED)
     running = build_report(opened, index_of(opened), spec, RUN_DATE, OPEN)
     return ended.unionByName(running)
@@ -468,7 +470,7 @@ def period_pair_nsi(s: Samples) -> DataFrame:
 @query("latest_flag")
 def latest_flag(s: Samples) -> DataFrame:
     runs = (
-        s.sales()
+        s.coded_lines()
         .groupBy(
             F.col("year").alias(YEAR),
             F.col("period").alias(PERIOD),
@@ -541,7 +543,7 @@ def history_append_same(s: Samples) -> DataFrame:
 def distinct_merge(s: Samples) -> DataFrame:
     """Stored sheet, its dates as spreadsheet serials, merged with a batch in epoch days."""
     sales = (
-        s.sales()
+        s.coded_lines()
         .groupBy(
             F.col("year").alias(YEAR),
             F.col("period").alias(PERIOD),

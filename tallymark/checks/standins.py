@@ -84,14 +84,17 @@ class Samples:
             f" as {MONEY_SQL}) cost",
         )
 
+    def coded_lines(self, without: str | None = None) -> DataFrame:
+        """Order lines with the code of their cost centre."""
+        lines = self.lines().join(self.warehouses(without), "l_suppkey")
+        return lines.withColumn("code", F.expr("lpad(s_nationkey, 3, '0')"))
+
     def sales(self, without: str | None = None) -> DataFrame:
         """Order lines with the code, name and region key of their cost centre."""
         nations = self.table("nation").selectExpr(
             "n_nationkey s_nationkey", "n_name centre", "n_regionkey"
         )
-        lines = self.lines().join(self.warehouses(without), "l_suppkey")
-        coded = lines.withColumn("code", F.expr("lpad(s_nationkey, 3, '0')"))
-        return coded.join(nations, "s_nationkey")
+        return self.coded_lines(without).join(nations, "s_nationkey")
 
     # Landed extracts
 
@@ -154,7 +157,7 @@ class Samples:
         )
 
     def cube(self) -> DataFrame:
-        return self.sales(MISSING["cube"]).selectExpr(
+        return self.coded_lines(MISSING["cube"]).selectExpr(
             "case when quantity < 50 then concat(code, '0000') end COSTCENTER",
             """concat(case l_linenumber when 1 then '899301' when 2 then '899301'
                when 3 then '505201' when 4 then '505401' when 5 then '305701'

@@ -26,7 +26,9 @@ def number_or_null(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
 def signed_number(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
     """Exported number text to number: strip clutter, move a trailing minus, bad -> 0."""
     digits = F.regexp_replace(as_column(col), r"[^\d.\-]", "")
-    leading_sign = F.regexp_replace(digits, r"([0-9.]+)-$", "-$1")
+    # Few numbers carry a trailing minus; the others are spared the second pattern.
+    moved = F.regexp_replace(digits, r"([0-9.]+)-$", "-$1")
+    leading_sign = F.when(digits.endswith("-"), moved).otherwise(digits)
     return F.coalesce(number_or_null(leading_sign, dtype), F.lit(0).cast(dtype))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import threading
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,9 @@ def settle(df: DataFrame) -> DataFrame:
     with _naming:
         ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def settle_all(frames: Sequence[DataFrame]) -> list[DataFrame]:
+    """Settle frames that do not depend on each other; their jobs run side by side."""
+    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
+        return list(pool.map(settle, frames))

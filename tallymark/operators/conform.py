@@ -64,7 +64,7 @@ def conform_cube(cube: DataFrame, account_map: DataFrame) -> DataFrame:
         F.col("COSTELMNT").alias("element"),
         "AMOUNT",
     )
-    classes = account_map.dropDuplicates(["element"])
+    classes = account_map.select("element", "account_class").distinct()
 
     def of_class(account_class: str) -> Column:
         return total_only_where(f"account_class = '{account_class}'", "AMOUNT")

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.functions.fiscal import FiscalPeriod, period_of
+from tallymark.lineage import settle_all
 from tallymark.operators import conform
 from tallymark.operators.control import control_totals, nearest_snapshot, period_volumes
 from tallymark.operators.history import HistoryStore, merge_distinct
@@ -40,10 +41,10 @@ def _of_periods(df: DataFrame, periods: list[FiscalPeriod] | None) -> DataFrame:
 
 
 def from_nearest_snapshot(
-    ledgers: Ledgers, extract: DataFrame, snapshots: DataFrame
+    ledgers: Ledgers, volumes: DataFrame, snapshots: DataFrame
 ) -> Ledgers:
     """Open-period ledgers: the profitability figures of the snapshot nearest in volume."""
-    controls = control_totals(ledgers.extract, period_volumes(extract))
+    controls = control_totals(ledgers.extract, volumes)
     chosen = nearest_snapshot(snapshots, controls)
     return ledgers._replace(profitability=conform.conform_snapshot(chosen))
 
@@ -67,13 +68,15 @@ def refresh(
     """One run. Returns the rows each history table gained."""
     current = period_of(zone.calendar(), run_date)
     prior = current.prior()
-    both = conform_landed(zone, [prior, current]).settled()
+    volumes = period_volumes(zone.extract([current]))
+    *settled, volumes = settle_all([*conform_landed(zone, [prior, current]), volumes])
+    both = Ledgers(*settled)
 
     def only(period: FiscalPeriod) -> Ledgers:
         return Ledgers(*[_of_periods(ledger, [period]) for ledger in both])
 
     opened = from_nearest_snapshot(
-        only(current), zone.extract([current]), zone.snapshots([current])
+        only(current), volumes, zone.snapshots([current])
     ).settled("profitability")
     run_id = run_id or run_ts.strftime("%Y%m%dT%H%M%S")
     pairs = period_pair(only(prior), opened, run_date)

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.measures import fill_zero_numeric
-from tallymark.lineage import settle
+from tallymark.lineage import settle_all
 from tallymark.operators.align import full_outer_align
 from tallymark.operators.index import system_index
 from tallymark.operators.keys import CODE, KEYS, NAME, PERIOD, YEAR
@@ -34,12 +33,10 @@ class Ledgers(NamedTuple):
         """Compute the named ledgers once (all by default) for the plans that share them.
 
         A report reads a ledger for its figures and, through the index, for its codes.
-        Left lazy, each use would scan that system's whole extract again. The systems
-        do not depend on each other, so their jobs run side by side.
+        Left lazy, each use would scan that system's whole extract again.
         """
         present = [n for n in names or self._fields if getattr(self, n) is not None]
-        with ThreadPoolExecutor(max_workers=len(present)) as pool:
-            settled = list(pool.map(settle, [getattr(self, n) for n in present]))
+        settled = settle_all([getattr(self, n) for n in present])
         return self._replace(**dict(zip(present, settled)))
 
 
