@@ -98,8 +98,8 @@ class HistoryStore:
     def log(self, report: str) -> DataFrame:
         path = f"{self.root}/log"
         self._create(f"{path}/REPORT={report}/RUN=none", T.StructType(self.LOG.fields[2:]))
-        entries = self.spark.read.schema(self.LOG).parquet(path)
-        return entries.where(F.col("REPORT") == report)
+        reader = self.spark.read.schema(self.LOG).option("basePath", path)
+        return reader.parquet(f"{path}/REPORT={report}")
 
     def stored(self, report: str, batch_schema: T.StructType) -> DataFrame:
         """Rows of all logged runs, with their run number."""
