@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 _naming = threading.Lock()
 
 
@@ -39,5 +44,14 @@ def settle(df: DataFrame) -> DataFrame:
 
 def settle_all(frames: Sequence[DataFrame]) -> list[DataFrame]:
     """Settle frames that do not depend on each other; their jobs run side by side."""
-    with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
-        return list(pool.map(settle, frames))
+    if not frames:
+        return []
+    return side_by_side(frames[0].sparkSession, [partial(settle, frame) for frame in frames])
+
+
+def side_by_side(spark: SparkSession, actions: Sequence[Callable[[], Result]]) -> list[Result]:
+    """Run independent Spark actions at once, under the caller's job settings."""
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        # Each gets its own copy of the settings; Spark keeps per-query state in them.
+        started = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [job.result() for job in started]

@@ -189,33 +189,32 @@ def _view_column(df: DataFrame, field: str) -> str:
 def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
     """Profitability view: volume, wholesale, discount, net sales and COGS.
 
-    ``also_by`` adds columns of the view to the grouping.
+    One row per profit centre; its code is a part of its number. ``also_by`` adds
+    columns of the view to the grouping.
     """
-    codes = _with_code(
-        view.where(one_of("MaterialAccountAssignmentGroup", MATERIAL_GROUPS)).withColumns(
-            {
-                YEAR: key_year("FiscalYearPeriod"),
-                PERIOD: key_period("FiscalYearPeriod"),
-                CODE: F.trim(substr_span("ProfitCenter", 5, 7)),
-                NAME: F.col("ProfitCenterText"),
-            }
-        )
-    )
-    fields = {f: _view_column(view, f) for f in (VIEW_VOLUME, *VIEW_WHOLESALE, *VIEW_COGS, *VIEW_DISCOUNT)}
-    sums = codes.groupBy(*KEYS, NAME, *also_by).agg(
-        *[total(column).alias(field) for field, column in fields.items()]
+    fields = (VIEW_VOLUME, *VIEW_WHOLESALE, *VIEW_COGS, *VIEW_DISCOUNT)
+    sums = (
+        view.where(one_of("MaterialAccountAssignmentGroup", MATERIAL_GROUPS))
+        .groupBy("FiscalYearPeriod", "ProfitCenter", "ProfitCenterText", *also_by)
+        .agg(*[total(_view_column(view, field)).alias(field) for field in fields])
     )
 
-    def added(fields: tuple[str, ...]) -> str:
-        return f"cast({' + '.join(fields)} as {MEASURE.simpleString()})"
-
-    return sums.selectExpr(
-        *KEYS, NAME, *also_by,
-        f"{VIEW_VOLUME} Volume",
-        f"{added(VIEW_WHOLESALE)} Wholesale",
-        f"{added(VIEW_COGS)} COGS",
-        f"{added(VIEW_DISCOUNT)} DISC",
-    ).withColumn("NSI", F.expr(f"cast(Wholesale - DISC as {MEASURE.simpleString()})"))
+    def added(fields: tuple[str, ...]) -> Column:
+        return F.expr(f"cast({' + '.join(fields)} as {MEASURE.simpleString()})")
+
+    # Keys are taken apart after the grouping, once per profit centre and not per line.
+    named = sums.select(
+        key_year("FiscalYearPeriod").alias(YEAR),
+        key_period("FiscalYearPeriod").alias(PERIOD),
+        F.trim(substr_span("ProfitCenter", 5, 7)).alias(CODE),
+        F.col("ProfitCenterText").alias(NAME),
+        *also_by,
+        F.col(VIEW_VOLUME).alias("Volume"),
+        added(VIEW_WHOLESALE).alias("Wholesale"),
+        added(VIEW_COGS).alias("COGS"),
+        added(VIEW_DISCOUNT).alias("DISC"),
+    )
+    return _with_code(named).withColumn("NSI", added(("Wholesale", "-DISC")))
 
 
 def conform_snapshot(snapshots: DataFrame) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.functions.fiscal import FiscalPeriod, period_of
-from tallymark.lineage import settle_all
+from tallymark.lineage import settle_all, side_by_side
 from tallymark.operators import conform
 from tallymark.operators.control import control_totals, nearest_snapshot, period_volumes
 from tallymark.operators.history import HistoryStore, merge_distinct
@@ -86,8 +86,8 @@ def refresh(
         return store.append(name, ended.unionByName(running), run_id, run_date, run_ts)
 
     # The four tables do not depend on each other.
-    with ThreadPoolExecutor(max_workers=len(pairs)) as pool:
-        return dict(zip(pairs, pool.map(append, pairs)))
+    appends = [partial(append, name) for name in pairs]
+    return dict(zip(pairs, side_by_side(store.spark, appends)))
 
 
 def refresh_sheets(

@@ -114,13 +114,14 @@ def test_profitability_net_measures(spark):
         ("Draper", "P100111", "2018004", "30", 50),
         ("Provo", "P100 22", "2018005", "41", 1),
         ("Nowhere", None, "2018005", "41", 1),
+        ("Provo", "P200 22", "2018005", "41", 1),  # other profit centre, same code
     ]
     # Fields 1..18: volume 1, wholesale 2+3, COGS 4..11, discount 12..18.
     cogs, discount = sum(range(4, 12)), sum(range(12, 19))
     got = plain_rows(conform_profitability(view(spark, rows)))
     assert got == [
         (2018, 4, "111", "Draper", 3.0, 15.0, 3.0 * cogs, 3.0 * discount, 3.0 * (5 - discount)),
-        (2018, 5, "22", "Provo", 1.0, 5.0, 1.0 * cogs, 1.0 * discount, 1.0 * (5 - discount)),
+        *[(2018, 5, "22", "Provo", 1.0, 5.0, 1.0 * cogs, 1.0 * discount, 1.0 * (5 - discount))] * 2,
     ]
 
 
