@@ -41,6 +41,7 @@ from tallymark.plans.reports import (
     build_unindexed_report,
     index_of,
     ledgers_of,
+    narrowed,
 )
 from tallymark.sources.accounts import COGS, NSI, VOLUME, default_account_map
 from tallymark.sources.exports import clean_export, upper_headers
@@ -392,7 +393,7 @@ def variance_fallback(s: Samples) -> DataFrame:
 
 
 def report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
-    ledgers = s.ledgers(*ledgers_of(spec)).settled()
+    ledgers = narrowed(s.ledgers(*ledgers_of(spec)), spec).settled()
     return build_report(ledgers, index_of(ledgers), spec, RUN_DATE, CLOSED)
 
 
@@ -444,8 +445,10 @@ def report_cogs_old(s: Samples) -> DataFrame:
 def _pair_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     """Every period as a closed one and as an open one, as a run in each period would."""
     names = ledgers_of(spec)
+    extract = s.ledger("extract")  # its volume also makes the control total
+    ledgers = narrowed(s.ledgers(*names), spec)._replace(extract=extract)
     *settled, volumes, snapshots = settle_all(
-        [*[s.ledger(n) for n in names], period_volumes(s.extract()), s.snapshots()]
+        [*[getattr(ledgers, n) for n in names], period_volumes(s.extract()), s.snapshots()]
     )
     closed = Ledgers(**dict(zip(names, settled)))
     opened = from_nearest_snapshot(closed, volumes, snapshots).settled("profitability")

@@ -40,10 +40,36 @@ class Ledgers(NamedTuple):
         return self._replace(**dict(zip(present, settled)))
 
 
+# Columns the index reads besides the keys.
+INDEX_COLUMNS = {"profitability": (NAME, "Volume"), "extract": (), "gl_export": (NAME,)}
+
+
+def columns_of(spec: ReportSpec) -> dict[str, list[str]]:
+    """Ledgers a report and its index read, with the columns they take besides the keys."""
+    columns = {name: list(index_columns) for name, index_columns in INDEX_COLUMNS.items()}
+    for side in spec.sides:
+        taken = columns.setdefault(side.ledger, [])
+        taken.extend(c for c in side.figures if c not in taken)
+    return columns
+
+
 def ledgers_of(spec: ReportSpec) -> list[str]:
     """Ledgers a report and its index read."""
-    used = {side.ledger for side in spec.sides} | {"profitability", "extract", "gl_export"}
-    return [name for name in Ledgers._fields if name in used]
+    return list(columns_of(spec))
+
+
+def narrowed(ledgers: Ledgers, spec: ReportSpec) -> Ledgers:
+    """Only what one report reads, so that the scans beneath leave out the rest.
+
+    Worth it before settling the ledgers for a single report; a run of all four
+    reports needs every column anyway.
+    """
+    return Ledgers(
+        **{
+            name: getattr(ledgers, name).select(*KEYS, *columns)
+            for name, columns in columns_of(spec).items()
+        }
+    )
 
 
 def _figures(ledgers: Ledgers, side: Side, *also: str) -> DataFrame:

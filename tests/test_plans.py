@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from frames import RUN_DATE
 from tallymark.checks.standins import Samples
 from tallymark.operators.conform import conform_extract
-from tallymark.plans.reports import build_report, index_of, ledgers_of
-from tallymark.plans.specs import NSI, REPORTS
+from tallymark.plans.reports import build_report, index_of, ledgers_of, narrowed
+from tallymark.plans.specs import NSI, PHYSICAL, REPORTS
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -119,3 +119,11 @@ def test_sums_shrink_before_the_shuffle(spark):
     conformed.collect()
     plan = conformed._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_sum(") >= 5
+
+
+def test_a_single_report_narrows_its_scans(spark):
+    """The physical report needs one of the view's figures: the price is not read for it."""
+    ledgers = narrowed(Samples(spark, FOLDER).ledgers(*ledgers_of(PHYSICAL)), PHYSICAL)
+    plan = executed(ledgers.profitability)
+    schema = re.search(r"lineitem.*?ReadSchema: struct<(.*?)>", plan, re.S).group(1)
+    assert "l_quantity" in schema and "l_extendedprice" not in schema
