@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 
 
 def full_outer_align(
-    left: DataFrame, right: DataFrame, on: Sequence[str], right_keys: Mapping[str, str] | None = None
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    right_keys: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Full outer equi-join with one merged key, whatever the right side calls it.
 

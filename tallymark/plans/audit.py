@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.history import HistoryStore
+from tallymark.plans.specs import REPORTS
+
 
 def audit_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row and column count of every table, one line each."""
@@ -18,3 +21,8 @@ def audit_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+def history_counts(store: HistoryStore) -> DataFrame:
+    """Row and column count of the four history tables."""
+    return audit_counts({s.name: store.read(s.name, s.stored_schema()) for s in REPORTS})

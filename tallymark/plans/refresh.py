@@ -13,6 +13,7 @@ from tallymark.lineage import settle_all, side_by_side
 from tallymark.operators import conform
 from tallymark.operators.control import control_totals, nearest_snapshot, period_volumes
 from tallymark.operators.history import HistoryStore, merge_distinct
+from tallymark.plans.audit import history_counts
 from tallymark.plans.reports import Ledgers, build_reports
 from tallymark.sources.landing import LandingZone, in_periods
 
@@ -119,14 +120,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--run-time", required=True, type=dt.datetime.fromisoformat)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledger-reconciliation").getOrCreate()
-    added = refresh(
-        LandingZone(spark, args.landing),
-        HistoryStore(spark, args.history),
-        args.run_date,
-        args.run_time,
-    )
+    store = HistoryStore(spark, args.history)
+    history_counts(store).show()
+    added = refresh(LandingZone(spark, args.landing), store, args.run_date, args.run_time)
     for name, rows in added.items():
         print(f"{name}: {rows} rows added")
+    history_counts(store).show()
 
 
 if __name__ == "__main__":

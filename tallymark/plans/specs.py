@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tallymark.functions import measures
 from tallymark.functions.measures import fill_zero
@@ -53,6 +54,15 @@ class ReportSpec:
     figures: tuple[str, ...]
     fill_rest: bool = True
 
+    def stored_schema(self) -> T.StructType:
+        """Columns of the report as its history table stores them."""
+        text, number = T.StringType(), T.IntegerType()
+        columns = {"CODE": text, "COSTCENTER": text}
+        columns |= {figure.upper(): measures.MEASURE for figure in self.figures}
+        columns |= {"DATE": T.DateType(), "PERIOD": number, "YEAR": number}
+        columns |= {"PERIODEND": text, "SYSTEM": text}
+        return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
 
 PHYSICAL = ReportSpec(
     name="physical",
