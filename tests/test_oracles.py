@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from tallymark.checks.oracles import ORACLES
+from tallymark.checks.queries import REGISTERED
 from oracle_check import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,13 +18,13 @@ def db():
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(REGISTERED) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTERED))
 def test_query_equals_its_twin(spark, db, name):
-    df = driver.queries()[name](spark, FOLDER)
-    assert differences(df, db, driver.oracle_sql()[name]) == []
+    df = REGISTERED[name](spark, FOLDER)
+    assert differences(df, db, ORACLES[name]) == []
 
 
 def test_entry_runs(spark):
