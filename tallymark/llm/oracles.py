@@ -11,24 +11,24 @@ with d as (select doc_id, coalesce(text, '') as text from documents),
 m as (
   select doc_id, text,
          regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
-         list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as l
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as l
   from d
 ),
 t as (
   select doc_id, text, w, l,
-         list_transform(range(1, len(w) - 1), i -> [w[i], w[i + 1], w[i + 2]]) as tri
+         list_transform(range(1, len(w) - 1), lambda i: [w[i], w[i + 1], w[i + 2]]) as tri
   from m
 ),
-places as (select doc_id, unnest(tri) as tri, unnest(range(1, len(tri) + 1)) as at from t),
+places as (select doc_id, unnest(tri) as tri, unnest(range(1, len(tri) + 1)) as pos from t),
 twice as (select doc_id, tri from places group by doc_id, tri having count(*) > 1),
 covered as (
   select doc_id, count(distinct place) as n
-  from (select p.doc_id, unnest([p.at, p.at + 1, p.at + 2]) as place from places p join twice using (doc_id, tri))
+  from (select p.doc_id, unnest([p.pos, p.pos + 1, p.pos + 2]) as place from places p join twice using (doc_id, tri))
   group by doc_id
 ),
 f as (
   select t.doc_id, len(w) as n_words,
-         cast(coalesce(list_sum(list_transform(w, x -> length(x))), 0) as bigint) as word_chars,
+         cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
          len(l) - len(list_distinct(l)) as n_dup_lines,
          coalesce(c.n, 0) as n_repeat_words,
@@ -55,7 +55,7 @@ from b
 ORACLES["op3_line_dedup"] = r"""
 with l as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
-         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as at
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) as pos
   from documents
 ),
 k as (
@@ -68,8 +68,8 @@ c as (
   group by key having count(distinct doc_id) >= 3
 ),
 j as (select k.*, c.key is not null and k.doc_id <> c.last_doc as gone from k left join c using (key))
-select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) order by at) filter (not gone), '')) as kept_sha256
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from j group by doc_id
 """
 
@@ -87,11 +87,11 @@ with phrase(words, label) as (values {phrases}),
 template(n, label, words) as (values {templates}),
 w as (select doc_id, coalesce(text, '') as text, {_words("coalesce(text, '')")} as w from documents),
 p as (
-  select doc_id, phrase.label, unnest(list_filter(range(len(w)), i -> w[i + 1 : i + len(phrase.words)] = phrase.words)) as at
+  select doc_id, phrase.label, unnest(list_filter(range(len(w)), lambda i: w[i + 1 : i + len(phrase.words)] = phrase.words)) as pos
   from w, phrase
 ),
 base as (
-  select doc_id, count(*) as n, min(at) as lo, max(at) as hi, list(distinct label) as labels
+  select doc_id, count(*) as n, min(pos) as lo, max(pos) as hi, list(distinct label) as labels
   from p group by doc_id
 ),
 line as (select doc_id, unnest(string_split(text, chr(10))) as line from w),
@@ -111,3 +111,41 @@ from w left join base using (doc_id) left join own using (doc_id)
 
 
 ORACLES["op9_license_scan"] = _license_sql()
+
+ORACLES["op4_substring_dedup"] = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (
+  select doc_id, unnest(range(1, greatest(len(w) - 11, 1))) as pos,
+         unnest(list_transform(range(1, greatest(len(w) - 11, 1)), lambda i: array_to_string(w[i : i + 12], ' '))) as key
+  from w
+),
+own as (select key, min(doc_id) as first_doc from win group by key having min(doc_id) <> max(doc_id)),
+gone as (
+  select distinct doc_id, unnest(range(pos, pos + 13)) as pos
+  from win join own using (key) where doc_id > first_doc
+),
+each as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from w),
+kept as (
+  select e.doc_id, count(g.pos) as n_removed,
+         string_agg(word, ' ' order by e.pos) filter (where g.pos is null) as kept
+  from each e left join gone g on g.doc_id = e.doc_id and g.pos = e.pos group by e.doc_id
+)
+select w.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from w left join kept using (doc_id)
+"""
+
+ORACLES["op8_exact_top_k"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id
+),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 20
+"""

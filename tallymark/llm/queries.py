@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, licenses, lines, packing, rules
+from tallymark.llm import bpe, licenses, lines, packing, pages, phrases, quality, rules, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,12 +27,35 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Kept words of every document; a text that loses nothing is joined the same way."""
+    out = phrases.drop_repeats(table(spark, folder, "documents"))
+    words = F.regexp_replace(F.btrim(F.coalesce("text", F.lit("")), F.lit(lines.BLANKS)), r"[\x20\x09-\x0D]+", " ")
+    return out.select("doc_id", F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.sha2(words, 256).alias("kept_sha256"))
+
+
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    out = pages.extract(table(spark, folder, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
     return bpe.digest(coded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256")))
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    out = quality.score(docs, model)
+    return out.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), lambda key: key % 20 == 0)
+
+
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents"))
     base = F.array_sort(F.array_distinct("places.label"))
@@ -56,5 +79,16 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_rule_ledger, op3_line_dedup, op6_bpe_round_trip, op9_license_scan, op10_best_fit_packing)
+    f.__name__: f
+    for f in (
+        op1_rule_ledger,
+        op3_line_dedup,
+        op4_substring_dedup,
+        op5_html_extraction,
+        op6_bpe_round_trip,
+        op7_quality_classifier,
+        op8_exact_top_k,
+        op9_license_scan,
+        op10_best_fit_packing,
+    )
 }

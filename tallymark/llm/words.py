@@ -7,6 +7,7 @@ A word is a run of characters other than space and the controls 9 to 13. Hashes
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +55,25 @@ class Powers:
 _BYTES, _WORDS = Powers(_BASE), Powers(_STEP)
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and for each text where its words begin; one more at the end."""
+@dataclass
+class Spans:
+    """Words of some texts in one buffer: where they start and end, and their hashes.
+
+    ``begins`` says for each text which word is its first, with one more at the end.
+    """
+
+    starts: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    begins: np.ndarray
+    sums: np.ndarray
+
+    def gram(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the ``size`` bytes from each place."""
+        return (self.sums[at + size] - self.sums[at]) * _BYTES.down[at]
+
+
+def word_spans(texts: list[str | None]) -> Spans:
     parts = [(t or "").encode("utf-8", "replace") for t in texts]
     lengths = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
     buffer = np.frombuffer(b" " + b" ".join(parts) + b" ", dtype=np.uint8)
@@ -66,8 +84,14 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(buffer) + 1, dtype=np.uint64)
     np.cumsum(buffer.astype(np.uint64) * _BYTES.up[: len(buffer)], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * _BYTES.down[starts] + (ends - starts).astype(np.uint64))
-    begins = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
-    return hashes, np.searchsorted(starts, begins)
+    begins = np.searchsorted(starts, np.concatenate(([1], 1 + np.cumsum(lengths + 1))))
+    return Spans(starts, ends, hashes, begins, sums)
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and for each text where its words begin; one more at the end."""
+    spans = word_spans(texts)
+    return spans.hashes, spans.begins
 
 
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
