@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, licenses, lines, packing, pages, phrases, quality, rules, topk
+from tallymark.llm import bpe, licenses, lines, near, packing, pages, phrases, quality, rules, topk
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_rule_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", rules.fails(rules.POLICIES["base"].mask).alias("base_failed"), "kept", "fail_bits")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near.join(table(spark, folder, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = lines.dedup_lines(table(spark, folder, "documents"), n_lines="__n_lines", n_dropped="__n_dropped")
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_rule_ledger,
+        op2_jaccard_join,
         op3_line_dedup,
         op4_substring_dedup,
         op5_html_extraction,
