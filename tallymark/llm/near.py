@@ -295,5 +295,6 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET,
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the least id of each class, with all its columns."""
     found = join(docs, threshold, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("__key")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__key"]), "left_anti").dropDuplicates([id_col])
+    gone = found.where(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__key")).distinct()
+    named = docs.withColumn("__own", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)))
+    return named.join(gone, F.col("__own") == F.col("__key"), "left_anti").dropDuplicates(["__own"]).drop("__own")

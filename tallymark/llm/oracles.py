@@ -134,6 +134,30 @@ select w.doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(
 from w left join kept using (doc_id)
 """
 
+ORACLES["op2_jaccard_join"] = r"""
+with recursive w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g as (
+  select distinct doc_id,
+         unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+                     when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as gram
+  from w
+),
+n as (select doc_id, count(*) as n from g group by doc_id),
+common as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from g a join g b on a.gram = b.gram and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id
+),
+link as (
+  select x, y from common join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+  where c >= 0.8 * (nx.n + ny.n - c) - 1e-9
+),
+reach(node, other) as (select doc_id, doc_id from documents union select r.node, l.y from reach r join link l on r.other = l.x),
+class as (select node, min(other) as class_id from reach group by node),
+degree as (select x, count(*) as d from link group by x)
+select d.doc_id, class_id, coalesce(degree.d, 0) as n_links
+from documents d join class on class.node = d.doc_id left join degree on degree.x = d.doc_id
+"""
+
 ORACLES["op8_exact_top_k"] = """
 with v as (
   select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallymark.llm import bpe, licenses, lines, near, packing, pages, phrases, quality, rules, topk
 
 
@@ -97,3 +98,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_best_fit_packing,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
