@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from tallymark.operators.versions import (
     flag_latest,
     prepare_batch,
     with_run_number,
+    yes_no,
 )
 
 
@@ -70,19 +72,23 @@ def merge_distinct(sheet: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 class HistoryStore:
-    """History tables that only ever grow, one folder per run.
+    """History tables that only ever grow, one folder per attempt of a run.
 
-    A run writes its changed batch to a folder of its own and then logs the run;
-    readers take only logged runs. A job that dies between the two leaves rows
-    nobody sees, and running it again under the same id overwrites them. Nothing
-    stored is rewritten: which rows are current follows from their run date and
-    number, and the time of the last check comes from the log.
+    An attempt writes its changed batch to a fresh folder below the run date and then
+    appends one entry to the log, which names the folder; readers take the folders the
+    log names. An attempt that dies in between leaves rows nobody ever sees, a run that
+    is repeated adds a new entry, and nothing stored is rewritten. The rows that the last
+    logged attempt of a period added are its current ones, as in :func:`append_changed`,
+    and the time of the last check is that of the last entry.
+
+    Only writers create folders: :meth:`create` once per table, and :meth:`append`.
     """
 
     LOG = T.StructType(
         [
-            T.StructField("REPORT", T.StringType()),
+            T.StructField("SEQ", T.LongType()),
             T.StructField("RUN", T.StringType()),
+            T.StructField("ATTEMPT", T.StringType()),
             T.StructField("CHECKED", T.StringType()),
             T.StructField("APPENDED", T.LongType()),
         ]
@@ -92,50 +98,84 @@ class HistoryStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _create(self, path: str, schema: T.StructType) -> None:
+    def _log_path(self, report: str) -> str:
+        return f"{self.root}/log/REPORT={report}"
+
+    def _placeholder(self, path: str, schema: T.StructType) -> None:
         self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
+    def _file_schema(self, batch_schema: T.StructType) -> T.StructType:
+        fields = [f for f in batch_schema.fields if f.name not in (*VERSION_COLUMNS, DATE)]
+        return T.StructType([*fields, T.StructField(RUN_NUMBER, T.IntegerType())])
+
+    def _day(self, report: str, date: dt.date) -> str:
+        return f"{self.root}/{report}/{DATE}={date.isoformat()}"
+
+    def create(self, report: str, batch_schema: T.StructType) -> None:
+        """Make an empty table, unless it is there."""
+        self._placeholder(self._log_path(report), self.LOG)
+        first = f"{self._day(report, dt.date(1970, 1, 1))}/ATTEMPT=none"
+        self._placeholder(first, self._file_schema(batch_schema))
+
     def log(self, report: str) -> DataFrame:
-        path = f"{self.root}/log"
-        self._create(f"{path}/REPORT={report}/RUN=none", T.StructType(self.LOG.fields[2:]))
-        reader = self.spark.read.schema(self.LOG).option("basePath", path)
-        return reader.parquet(f"{path}/REPORT={report}")
+        return self.spark.read.schema(self.LOG).parquet(self._log_path(report))
+
+    def stored(
+        self, report: str, batch_schema: T.StructType, date: dt.date | None = None
+    ) -> DataFrame:
+        """Rows of all logged attempts with their run number and log position.
 
-    def stored(self, report: str, batch_schema: T.StructType) -> DataFrame:
-        """Rows of all logged runs, with their run number."""
+        With a date, only that date's folder is listed and read.
+        """
         path = f"{self.root}/{report}"
-        fields = [f for f in batch_schema.fields if f.name not in VERSION_COLUMNS]
-        file_fields = [f for f in fields if f.name != DATE]
-        number = T.StructField(RUN_NUMBER, T.IntegerType())
-        first_day = f"{path}/RUN=none/{DATE}=1970-01-01"
-        self._create(first_day, T.StructType([*file_fields, number]))
-        layout = [*file_fields, number, T.StructField("RUN", T.StringType())]
-        layout.append(T.StructField(DATE, T.DateType()))
-        rows = self.spark.read.schema(T.StructType(layout)).parquet(path)
-        logged = self.log(report).select("RUN").distinct()
-        return rows.join(logged, "RUN", "left_semi").select(*[f.name for f in fields], RUN_NUMBER)
+        layout = [
+            *self._file_schema(batch_schema).fields,
+            T.StructField(DATE, T.DateType()),
+            T.StructField("ATTEMPT", T.StringType()),
+        ]
+        reader = self.spark.read.schema(T.StructType(layout)).option("basePath", path)
+        rows = reader.parquet(path if date is None else self._day(report, date))
+        logged = self.log(report).where(F.col("ATTEMPT").isNotNull()).select("ATTEMPT", "SEQ")
+        names = [f.name for f in batch_schema.fields if f.name not in VERSION_COLUMNS]
+        return rows.join(logged, "ATTEMPT").select(*names, RUN_NUMBER, "SEQ")
 
     def append(
         self, name: str, report: DataFrame, run_id: str, run_date: dt.date, run_ts: dt.datetime
     ) -> int:
         """Write the changed periods of a report, log the check, return the rows added."""
         batch = settle(prepare_batch(report))
+        if batch.where(~F.col(DATE).eqNullSafe(F.lit(run_date))).limit(1).count():
+            raise ValueError(f"the report has rows of another date than {run_date}")
+        self.create(name, batch.schema)
+        day = self._day(name, run_date)
+        self._placeholder(f"{day}/ATTEMPT=none", self._file_schema(batch.schema))
         # Rows can only be equal on equal run dates, and numbers count within one:
         # other dates need not be read.
-        today = self.stored(name, batch.schema).where(F.col(DATE) == F.lit(run_date))
+        today = self.stored(name, batch.schema, run_date).drop("SEQ")
         added = settle(changed_batch(batch, today))
         count = added.count()
-        if count:
-            target = f"{self.root}/{name}/RUN={run_id}"
-            added.write.mode("overwrite").partitionBy(DATE).parquet(target)
-        entry = [(run_ts.isoformat(sep=" "), count)]
-        self.spark.createDataFrame(entry, T.StructType(self.LOG.fields[2:])).write.mode(
-            "overwrite"
-        ).parquet(f"{self.root}/log/REPORT={name}/RUN={run_id}")
+        attempt = f"{run_id}-{uuid.uuid4().hex}" if count else None
+        if attempt:
+            added.drop(DATE).write.mode("errorifexists").parquet(f"{day}/ATTEMPT={attempt}")
+        last = self.log(name).agg(F.max("SEQ")).first()[0] or 0
+        entry = [(last + 1, run_id, attempt, run_ts.isoformat(sep=" "), count)]
+        self.spark.createDataFrame(entry, self.LOG).coalesce(1).write.mode("append").parquet(
+            self._log_path(name)
+        )
         return count
 
     def read(self, name: str, batch_schema: T.StructType) -> DataFrame:
         """The history as reports see it: current rows marked, last check on every row."""
-        rows = flag_latest(self.stored(name, batch_schema))
-        last_check = self.log(name).agg(F.max("CHECKED")).first()[0]
-        return rows.withColumn(CHECKED_AT, F.lit(last_check).cast("timestamp"))
+        rows = self.stored(name, batch_schema)
+        last = rows.groupBy(*PERIOD_KEYS).agg(F.max("SEQ").alias("last_seq"))
+        last_check = self.log(name).agg(F.max_by("CHECKED", "SEQ")).first()[0]
+        return (
+            rows.join(last, PERIOD_KEYS, "left")
+            .withColumn(MOST_RECENT, yes_no(F.col("SEQ") == F.col("last_seq")))
+            .drop("SEQ", "last_seq")
+            .withColumn(CHECKED_AT, F.lit(last_check).cast("timestamp"))
+        )
+
+    def rows_logged(self, name: str) -> DataFrame:
+        """Number of stored rows, from the log alone."""
+        return self.log(name).agg(F.coalesce(F.sum("APPENDED"), F.lit(0)).alias("N_ROWS"))

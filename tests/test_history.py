@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,28 +147,88 @@ def test_store_follows_the_append_rule(spark, tmp_path):
     assert {r.DATETIME for r in history.select("DATETIME").collect()} == {SECOND}
 
 
-def test_store_ignores_runs_that_were_not_logged(spark, tmp_path):
+def dead_attempt(spark, tmp_path, *rows):
+    """Rows of an attempt that died before it was logged."""
+    lost = prepare_batch(batch(spark, *rows)).withColumn("TIMESRANTODAY", F.lit(2))
+    lost.drop("DATE").write.parquet(f"{tmp_path}/physical/DATE={RUN_DATE}/ATTEMPT=r2-dead")
+
+
+@pytest.mark.parametrize("figure, added", [(1, 0), (9, 1), (5, 1)])
+def test_a_dead_attempt_is_never_seen(spark, tmp_path, figure, added):
     store = HistoryStore(spark, str(tmp_path))
     first = batch(spark, ("001", 1, 4))
     schema = prepare_batch(first).schema
     store.append("physical", first, "r1", RUN_DATE, FIRST)
-    # A run that died after writing its rows.
-    lost = prepare_batch(batch(spark, ("001", 9, 4))).withColumn("TIMESRANTODAY", F.lit(2))
-    lost.write.partitionBy("DATE").parquet(f"{tmp_path}/physical/RUN=r2")
+    dead_attempt(spark, tmp_path, ("001", 9, 4))
     assert summary(store.read("physical", schema)) == [(4, "001", 1.0, RUN_DATE, 1, "YES")]
-    # Running it again under the same id replaces them.
-    assert store.append("physical", batch(spark, ("001", 9, 4)), "r2", RUN_DATE, SECOND) == 1
-    assert [r[2] for r in summary(store.read("physical", schema))] == [1.0, 9.0]
+    assert store.append("physical", batch(spark, ("001", figure, 4)), "r2", RUN_DATE, SECOND) == added
+    figures = {r[2]: r[5] for r in summary(store.read("physical", schema))}
+    assert figures == ({1.0: "YES"} if not added else {1.0: "NO", float(figure): "YES"})
+
+
+def test_a_repeated_run_id_never_takes_rows_away(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path))
+    first = batch(spark, ("001", 1, 4))
+    schema = prepare_batch(first).schema
+    assert store.append("physical", first, "r1", RUN_DATE, FIRST) == 1
+    assert store.append("physical", first, "r1", RUN_DATE, SECOND) == 0
+    assert [r[2] for r in summary(store.read("physical", schema))] == [1.0]
+    assert store.append("physical", batch(spark, ("001", 5, 4)), "r1", RUN_DATE, SECOND) == 1
+    assert [(r[2], r[5]) for r in summary(store.read("physical", schema))] == [(1.0, "NO"), (5.0, "YES")]
+    assert sorted(r.APPENDED for r in store.log("physical").collect()) == [0, 1, 1]
+    assert store.rows_logged("physical").first()[0] == 2
+
+
+def test_random_run_orders_give_the_pure_history(spark, tmp_path):
+    rng = random.Random(11)
+    store, pure = HistoryStore(spark, str(tmp_path)), empty_history(spark)
+    for step in range(7):
+        date = RUN_DATE - dt.timedelta(days=rng.randrange(3))
+        rows = [("001", rng.choice([1, 2]), p) for p in rng.sample([4, 5], rng.choice([1, 2]))]
+        given, at = batch(spark, *rows, date=date), FIRST + dt.timedelta(minutes=step)
+        store.append("physical", given, f"r{rng.randrange(3)}", date, at)
+        grown = append_changed(pure, given, at)
+        pure = spark.createDataFrame(grown.collect(), grown.schema)
+    history = store.read("physical", prepare_batch(given).schema)
+    assert summary(history) == summary(pure)
+    assert {r.DATETIME for r in history.collect()} == {at}
+
+
+def test_an_earlier_run_date_after_a_later_one_is_current(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path))
+    day_before = RUN_DATE - dt.timedelta(days=1)
+    store.append("physical", batch(spark, ("001", 1, 4)), "r1", RUN_DATE, FIRST)
+    given = batch(spark, ("001", 2, 4), date=day_before)
+    store.append("physical", given, "r2", day_before, SECOND)
+    history = store.read("physical", prepare_batch(given).schema)
+    assert {r[2]: r[5] for r in summary(history)} == {1.0: "NO", 2.0: "YES"}
+
+
+def test_reading_writes_nothing(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path))
+    schema = prepare_batch(batch(spark)).schema
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.read("physical", schema)
+    assert list(tmp_path.iterdir()) == []
+    store.create("physical", schema)
+    before = sorted(tmp_path.rglob("*"))
+    assert store.read("physical", schema).count() == 0
+    assert sorted(tmp_path.rglob("*")) == before
+
+
+def test_only_rows_of_the_run_date_are_taken(spark, tmp_path):
+    other = batch(spark, ("001", 1, 4), date=RUN_DATE - dt.timedelta(days=1))
+    with pytest.raises(ValueError, match="another date"):
+        HistoryStore(spark, str(tmp_path)).append("physical", other, "r1", RUN_DATE, FIRST)
 
 
-def test_store_reads_only_the_run_date_to_compare(spark, tmp_path):
+def test_store_lists_only_the_run_date_to_compare(spark, tmp_path):
     store = HistoryStore(spark, str(tmp_path))
     first = batch(spark, ("001", 1, 4))
     schema = prepare_batch(first).schema
     store.append("physical", first, "r1", RUN_DATE, FIRST)
-    today = store.stored("physical", schema).where(F.col("DATE") == F.lit(RUN_DATE))
-    plan = today._jdf.queryExecution().executedPlan().toString()
-    assert "DATE" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    files = store.stored("physical", schema, RUN_DATE).inputFiles()
+    assert files and all(f"DATE={RUN_DATE}" in f or "/log/" in f for f in files)
 
 
 EXTRACT = "RSMASG string, RSPERD string, RSQTY double, year int, period int"
