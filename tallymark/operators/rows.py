@@ -3,29 +3,49 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallymark.lineage import settle
+
+_PLACE = "__place"
 
 
 def row_window(df: DataFrame, order_by: Sequence[str], nrows: int = -1, skip: int = 0) -> DataFrame:
     """Skip rows, then keep ``nrows`` of them; -1 keeps all the rest.
 
-    ``order_by`` must identify a row, or the window would not be stable. With a
-    limit Spark keeps only ``skip + nrows`` rows per task. Without one, only the
-    skipped rows are sought and the rest stays distributed: a plain offset would
-    push the whole frame through one task.
+    Rows that tie on ``order_by`` follow their other columns, so the window is the same
+    in every run, and rows equal in every column are told apart by number only. The
+    frame is sorted by ranges and settled; from the size of each range follows where the
+    window begins and ends, so no task and no driver holds more than its range.
     """
     if nrows < 0 and skip <= 0:
         return df
     if not order_by:
         raise ValueError("a row window needs columns that order the rows")
-    ordered = df.orderBy(*order_by)
-    if nrows >= 0:
-        return ordered.offset(skip).limit(nrows)
-    skipped = ordered.limit(skip).select(*[F.col(c).alias(f"skip_{c}") for c in order_by])
-    same_row = reduce(
-        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"skip_{c}")) for c in order_by]
-    )
-    return df.join(skipped, same_row, "left_anti")
+    sortable = {f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))}
+    order = [*order_by, *[c for c in df.columns if c in sortable and c not in order_by]]
+    columns = [F.col(f"`{c}`") for c in order]
+    sorted_rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    # The id counts from 0 within each range, with the range's number in its upper bits.
+    placed = settle(sorted_rows.withColumn(_PLACE, F.monotonically_increasing_id()))
+    ranges = placed.groupBy(F.shiftright(_PLACE, 33).alias("range")).agg(F.count("*").alias("n"))
+    sizes = sorted((r["range"], r["n"]) for r in ranges.collect())
+    ends = list(accumulate(n for _, n in sizes))
+
+    def place(position: int) -> int | None:
+        """Id of the row at a position of the whole order; None past its end."""
+        for (number, size), end in zip(sizes, ends):
+            if position < end:
+                return (number << 33) + position - (end - size)
+        return None
+
+    first = place(max(skip, 0))
+    window = F.lit(False) if first is None else F.col(_PLACE) >= first
+    after = place(max(skip, 0) + nrows) if nrows >= 0 else None
+    if after is not None:
+        window &= F.col(_PLACE) < after
+    return placed.where(window).drop(_PLACE)
