@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.checks.standins import MISSING, YEAR_SHIFT, Samples
+from tallymark.checks.standins import YEAR_SHIFT, Samples
 from tallymark.functions import fiscal, measures, text
 from tallymark.lineage import settle, settle_all
 from tallymark.operators import conform
@@ -45,7 +45,7 @@ from tallymark.plans.reports import (
 )
 from tallymark.sources.accounts import COGS, NSI, VOLUME, default_account_map
 from tallymark.sources.exports import clean_export, upper_headers
-from tallymark.sources.landing import cube_slice, extract_table_name
+from tallymark.sources.landing import cube_slice, extract_table_name, fiscal_keys, in_periods
 from tallymark.sources.workarea import decode_work_area
 
 RUN_DATE = dt.date(2020, 11, 30)
@@ -80,11 +80,11 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema.fields])
 
 
-def query(name: str) -> Callable:
-    """Register a query over the sample tables."""
+def query(name: str, gaps: bool = False) -> Callable:
+    """Register a query over the sample tables; ``gaps`` where missing codes are its point."""
 
     def register(build: Callable[[Samples], DataFrame]) -> Callable[[Samples], DataFrame]:
-        REGISTERED[name] = lambda spark, folder: plain(build(Samples(spark, folder)))
+        REGISTERED[name] = lambda spark, folder: plain(build(Samples(spark, folder, gaps)))
         return build
 
     return register
@@ -95,15 +95,36 @@ def query(name: str) -> Callable:
 
 @query("scan_prune_partition")
 def scan_prune_partition(s: Samples) -> DataFrame:
+    """The scan of two periods, chosen by literal values."""
     is_current = (F.col("year") == CURRENT.year) & (F.col("period") == CURRENT.period)
     return (
         s.extract()
+        .where(in_periods("year", "period", [CURRENT, CURRENT.prior()]))
         .groupBy("year", "period")
         .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("RSQTY").alias("rsqty"))
         .withColumn("table_name", extract_table_name(F.col("year"), F.col("period"), is_current))
     )
 
 
+@query("extract_table_names")
+def extract_table_names(s: Samples) -> DataFrame:
+    """The name each period's extract has at its origin, with its size."""
+    is_current = (F.col("year") == CURRENT.year) & (F.col("period") == CURRENT.period)
+    return (
+        s.extract()
+        .groupBy("year", "period")
+        .agg(F.count(F.lit(1)).alias("n_lines"))
+        .withColumn("table_name", extract_table_name(F.col("year"), F.col("period"), is_current))
+    )
+
+
+@query("scan_prune_keys")
+def scan_prune_keys(s: Samples) -> DataFrame:
+    """The ledger cube restricted to two fiscal keys."""
+    kept = s.cube().where(fiscal_keys("FISCPER", [CURRENT, CURRENT.prior()]))
+    return kept.groupBy("FISCPER", "VTYPE").agg(F.sum("AMOUNT").alias("AMOUNT"))
+
+
 @query("decode_work_area")
 def decode_work_area_rows(s: Samples) -> DataFrame:
     quantity, price = money("l_quantity"), money("l_extendedprice")
@@ -222,6 +243,13 @@ def row_window_page(s: Samples) -> DataFrame:
     return row_window(orders, ["o_orderdate", "o_orderkey"], nrows=500, skip=200)
 
 
+@query("row_window_ties")
+def row_window_ties(s: Samples) -> DataFrame:
+    """A key with many ties: the rest of the columns decides."""
+    orders = s.table("orders").select("o_orderpriority", "o_orderkey")
+    return row_window(orders, ["o_orderpriority"], nrows=700, skip=300)
+
+
 @query("row_window_rest")
 def row_window_rest(s: Samples) -> DataFrame:
     orders = s.table("orders").select(
@@ -271,7 +299,7 @@ def star_rollup(s: Samples) -> DataFrame:
 @query("indicator_measures")
 def indicator_measures(s: Samples) -> DataFrame:
     return conform.conform_extract_by_group(
-        s.extract(), s.plant(MISSING["extract"]), s.article()
+        s.extract(), s.plant(), s.article()
     )
 
 
@@ -336,12 +364,12 @@ def nearest_snapshot_rows(s: Samples) -> DataFrame:
 # Alignment
 
 
-@query("system_index")
+@query("system_index", gaps=True)
 def system_index(s: Samples) -> DataFrame:
     return index_of(s.ledgers(*SHARED).settled("profitability"))
 
 
-@query("code_membership")
+@query("code_membership", gaps=True)
 def code_membership(s: Samples) -> DataFrame:
     ledgers = s.ledgers(*SHARED).settled(*SHARED)
     not_in_view = codes_not_in(ledgers.extract, ledgers.profitability, KEYS)
@@ -366,13 +394,13 @@ def _aligned(s: Samples) -> DataFrame:
     return full_outer_align(full_outer_align(view, extract, KEYS), cube, KEYS)
 
 
-@query("full_outer_align")
+@query("full_outer_align", gaps=True)
 def outer_align(s: Samples) -> DataFrame:
     aligned = _aligned(s).withColumn("no_view", measures.indicator(F.col("view_volume").isNull()))
     return measures.fill_zero(aligned, ["view_volume", "extract_volume"])
 
 
-@query("variance_fallback")
+@query("variance_fallback", gaps=True)
 def variance_fallback(s: Samples) -> DataFrame:
     return _aligned(s).withColumns(
         {
@@ -397,22 +425,22 @@ def report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     return build_report(ledgers, index_of(ledgers), spec, RUN_DATE, CLOSED)
 
 
-@query("report_physical")
+@query("report_physical", gaps=True)
 def report_physical(s: Samples) -> DataFrame:
     return report_of(s, specs.PHYSICAL)
 
 
-@query("report_gl")
+@query("report_gl", gaps=True)
 def report_gl(s: Samples) -> DataFrame:
     return report_of(s, specs.GL)
 
 
-@query("report_nsi")
+@query("report_nsi", gaps=True)
 def report_nsi(s: Samples) -> DataFrame:
     return report_of(s, specs.NSI)
 
 
-@query("report_cogs")
+@query("report_cogs", gaps=True)
 def report_cogs(s: Samples) -> DataFrame:
     return report_of(s, specs.COGS)
 
@@ -422,22 +450,22 @@ def unindexed_report_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     return build_unindexed_report(ledgers, spec, RUN_DATE, CLOSED)
 
 
-@query("report_physical_old")
+@query("report_physical_old", gaps=True)
 def report_physical_old(s: Samples) -> DataFrame:
     return unindexed_report_of(s, specs.PHYSICAL)
 
 
-@query("report_gl_old")
+@query("report_gl_old", gaps=True)
 def report_gl_old(s: Samples) -> DataFrame:
     return unindexed_report_of(s, specs.GL)
 
 
-@query("report_nsi_old")
+@query("report_nsi_old", gaps=True)
 def report_nsi_old(s: Samples) -> DataFrame:
     return unindexed_report_of(s, specs.NSI)
 
 
-@query("report_cogs_old")
+@query("report_cogs_old", gaps=True)
 def report_cogs_old(s: Samples) -> DataFrame:
     return unindexed_report_of(s, specs.COGS)
 
@@ -457,12 +485,22 @@ def _pair_of(s: Samples, spec: specs.ReportSpec) -> DataFrame:
     return ended.unionByName(running)
 
 
-@query("period_pair_physical")
+@query("period_pair_physical", gaps=True)
 def period_pair_physical(s: Samples) -> DataFrame:
     return _pair_of(s, specs.PHYSICAL)
 
 
-@query("period_pair_nsi")
+@query("period_pair_gl", gaps=True)
+def period_pair_gl(s: Samples) -> DataFrame:
+    return _pair_of(s, specs.GL)
+
+
+@query("period_pair_cogs", gaps=True)
+def period_pair_cogs(s: Samples) -> DataFrame:
+    return _pair_of(s, specs.COGS)
+
+
+@query("period_pair_nsi", gaps=True)
 def period_pair_nsi(s: Samples) -> DataFrame:
     return _pair_of(s, specs.NSI)
 
@@ -487,7 +525,10 @@ def latest_flag(s: Samples) -> DataFrame:
 
 
 def _batch(s: Samples) -> DataFrame:
-    return settle(report_of(s, specs.PHYSICAL))
+    """A report, with a line of a blank code for each of the code 001; blanks never count."""
+    report = settle(report_of(s, specs.PHYSICAL))
+    blank = report.where(F.col(CODE) == "001").withColumn(CODE, F.lit("   "))
+    return report.unionByName(blank)
 
 
 def _stored_before(batch: DataFrame) -> DataFrame:
@@ -514,7 +555,7 @@ def _stored_before(batch: DataFrame) -> DataFrame:
     )
 
 
-@query("batch_is_new")
+@query("batch_is_new", gaps=True)
 def batch_is_new(s: Samples) -> DataFrame:
     batch = _batch(s)
     prepared = prepare_batch(batch)
@@ -529,13 +570,13 @@ def batch_is_new(s: Samples) -> DataFrame:
     )
 
 
-@query("history_append_changed")
+@query("history_append_changed", gaps=True)
 def history_append_changed(s: Samples) -> DataFrame:
     batch = _batch(s)
     return append_changed(_stored_before(batch), batch, RUN_TS)
 
 
-@query("history_append_same")
+@query("history_append_same", gaps=True)
 def history_append_same(s: Samples) -> DataFrame:
     batch = _batch(s)
     once = append_changed(_stored_before(batch), batch, EARLIER_TS)

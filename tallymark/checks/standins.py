@@ -6,8 +6,8 @@ the library's own operators: a supplier is a warehouse, its nation a cost centre
 a part an article, an order line an invoice line, a posting or a sale.
 
 Years are moved by ``YEAR_SHIFT`` so that the periods fall on both sides of the
-index rule's cut. Every system lacks one region, so that every side of an
-alignment has codes the others do not.
+index rule's cut. With ``gaps`` every system lacks one region, so that every side of
+an alignment has codes the others do not; queries of one system have no gaps.
 
 Joins go from the lines to one table at a time. Joining the small tables to each
 other first would make Spark multiply their sizes and think the result too large
@@ -42,9 +42,10 @@ MATERIAL_GROUP = "case l_returnflag when 'A' then '11' when 'R' then '18' else '
 class Samples:
     """The sample tables of one folder, as extracts and as conformed ledgers."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, gaps: bool = True):
         self.spark = spark
         self.folder = folder
+        self.missing = MISSING if gaps else {}
         self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -157,11 +158,11 @@ class Samples:
         )
 
     def cube(self) -> DataFrame:
-        return self.coded_lines(MISSING["cube"]).selectExpr(
+        return self.coded_lines(self.missing.get("cube")).selectExpr(
             "case when quantity < 50 then concat(code, '0000') end COSTCENTER",
             """concat(case l_linenumber when 1 then '899301' when 2 then '899301'
                when 3 then '505201' when 4 then '505401' when 5 then '305701'
-               when 6 then '405506' else '999999' end, cast(quantity as int) + 460) COSTELMNT""",
+               when 6 then '405506' else '999999' end, 200 + pmod(l_partkey, 600)) COSTELMNT""",
             "if(l_returnflag = 'N', 20, 10) VTYPE",
             "if(l_linestatus = 'F', 0, 1) VERSION",
             f"cast(-amount as {MONEY_SQL}) AMOUNT",
@@ -174,20 +175,20 @@ class Samples:
 
         def shared(fields: tuple[str, ...], amount: str) -> list[str]:
             return [
-                f"if(l_linenumber = {n}, {amount}, cast(0 as {MONEY_SQL})) {field}Share"
-                for n, field in enumerate(fields, start=1)
+                f"if(pmod(l_partkey, {len(fields)}) = {n}, {amount}, cast(0 as {MONEY_SQL})) {field}"
+                for n, field in enumerate(fields)
             ]
 
         regions = self.table("region").selectExpr("r_regionkey n_regionkey", "r_name")
         volume = f"if(r_name = '{NO_VOLUME_REGION}', 0BD, quantity)"
-        return self.sales(MISSING["profitability"]).join(regions, "n_regionkey").selectExpr(
+        return self.sales(self.missing.get("profitability")).join(regions, "n_regionkey").selectExpr(
             "centre ProfitCenterText",
             "concat('P100', code) ProfitCenter",
             f"{FISCAL_KEY} FiscalYearPeriod",
             f"{MATERIAL_GROUP} MaterialAccountAssignmentGroup",
-            f"cast({volume} as {MONEY_SQL}) VV998QCases",
-            "amount ERLOSRevenue",
-            "cost VV004Upcharge",
+            f"cast({volume} as {MONEY_SQL}) {conform.VIEW_VOLUME}",
+            f"amount {conform.VIEW_WHOLESALE[0]}",
+            f"cost {conform.VIEW_WHOLESALE[1]}",
             *shared(conform.VIEW_COGS, "cost"),
             *shared(conform.VIEW_DISCOUNT, "discount"),
             "shipped",
@@ -213,7 +214,7 @@ class Samples:
 
     def _export(self, figures: dict[str, str]) -> DataFrame:
         """An exported report: one line per cost centre and one of totals per period."""
-        sold = self.sales(MISSING["exports"]).where("l_returnflag <> 'N'")
+        sold = self.sales(self.missing.get("exports")).where("l_returnflag <> 'N'")
         centres = sold.groupBy("year", "period", "centre", "code").agg(
             *[F.expr(f"sum({sql})").alias(name) for name, sql in figures.items()]
         )
@@ -251,7 +252,7 @@ class Samples:
             """case p_type when 'PROMO' then 'OTH CUPS' when 'SMALL' then 'OTH CO2 FULL '
                when 'LARGE' then 'OTH STRAWS  ' else p_name end PRDDESC""",
         )
-        covered = self.warehouses(MISSING["summary"])
+        covered = self.warehouses(self.missing.get("summary"))
         return self.lines().join(covered, "l_suppkey", "left_semi").join(
             parts, "l_partkey"
         ).selectExpr(
@@ -273,7 +274,7 @@ class Samples:
             return conform.conform_profitability(self.profitability())
         if name == "extract":
             return conform.conform_extract(
-                self.extract(), self.plant(MISSING["extract"]), self.article(),
+                self.extract(), self.plant(self.missing.get("extract")), self.article(),
                 self.adjustment_type(),
             )
         if name == "cube":

@@ -39,10 +39,27 @@ DISCOUNT_VALUE_FIELDS = ("10", "11", "13", "22", "23", "44", "63")
 LEFT_OUT_PRODUCTS = ("OTH CO2 FULL", "OTH CUPS", "OTH LIDS", "OTH STRAWS")
 
 # The value fields of the profitability view, by the measure they make up.
-VIEW_VOLUME = "VV998"
-VIEW_WHOLESALE = ("ERLOS", "VV004")
-VIEW_COGS = ("VV076", "VV078", "VV079", "VV080", "VV081", "VV082", "VV083", "VV084")
-VIEW_DISCOUNT = ("VV010", "VV011", "VV013", "VV022", "VV023", "VV044", "VV063")
+VIEW_VOLUME = "VV998QPhysicalCases"
+VIEW_WHOLESALE = ("ERLOSRevenue", "VV004UpchargeChannel")
+VIEW_COGS = (
+    "VV076COGSPurchasedFG",
+    "VV078COGSConcentrate",
+    "VV079COGSIngredients",
+    "VV080COGSContainers",
+    "VV081COGSPackaging",
+    "VV082COGSLaborActivity",
+    "VV083COGSOtherOverheads",
+    "VV084Reserve50CGS",
+)
+VIEW_DISCOUNT = (
+    "VV010EDVChannelDiscount",
+    "VV011EDVCustomer",
+    "VV013EmployeeDiscounts",
+    "VV022NMDOTHER",
+    "VV044CRMTPMOnInv",
+    "VV023VolumeDiscount",
+    "VV063Reserve35Swire",
+)
 
 
 def _with_code(df: DataFrame) -> DataFrame:
@@ -178,14 +195,6 @@ def conform_extract_by_group(
     )
 
 
-def _view_column(df: DataFrame, field: str) -> str:
-    """A value field's column, found by its number; the text after it is a label."""
-    found = [c for c in df.columns if c.upper().startswith(field)]
-    if len(found) != 1:
-        raise ValueError(f"value field {field} has {len(found)} columns in the view")
-    return found[0]
-
-
 def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
     """Profitability view: volume, wholesale, discount, net sales and COGS.
 
@@ -196,7 +205,7 @@ def conform_profitability(view: DataFrame, *also_by: str) -> DataFrame:
     sums = (
         view.where(one_of("MaterialAccountAssignmentGroup", MATERIAL_GROUPS))
         .groupBy("FiscalYearPeriod", "ProfitCenter", "ProfitCenterText", *also_by)
-        .agg(*[total(_view_column(view, field)).alias(field) for field in fields])
+        .agg(*[total(field).alias(field) for field in fields])
     )
 
     def added(fields: tuple[str, ...]) -> Column:

@@ -15,24 +15,30 @@ from tallymark.operators.control import control_totals, nearest_snapshot, period
 from tallymark.operators.history import HistoryStore, merge_distinct
 from tallymark.plans.audit import history_counts
 from tallymark.plans.reports import Ledgers, build_reports
+from tallymark.plans.specs import REPORTS
 from tallymark.sources.landing import LandingZone, in_periods
 
 CLOSED, OPEN = "YES", "NO"
 
 
-def conform_landed(zone: LandingZone, periods: list[FiscalPeriod] | None) -> Ledgers:
-    """Conformed ledgers of the given periods, the profitability figures from the view."""
-    plant = zone.plant()
+def conform_landed(
+    zone: LandingZone, closed: list[FiscalPeriod], opened: list[FiscalPeriod]
+) -> Ledgers:
+    """Conformed ledgers of closed and open periods.
+
+    The profitability view is read for closed periods only; an open period takes its
+    figures from a snapshot. Exports come from the period-end files of closed periods
+    and from the running files of open ones.
+    """
+    plant, periods = zone.plant(), [*closed, *opened]
     return Ledgers(
-        profitability=conform.conform_profitability(zone.profitability(periods)),
+        profitability=conform.conform_profitability(zone.profitability(closed)),
         extract=conform.conform_extract(
             zone.extract(periods), plant, zone.article(), zone.adjustment_type()
         ),
         cube=conform.conform_cube(zone.cube(periods), zone.account_map()),
-        gl_export=conform.conform_gl_export(_of_periods(zone.table("gl_export"), periods)),
-        physical_export=conform.conform_physical_export(
-            _of_periods(zone.table("physical_export"), periods)
-        ),
+        gl_export=conform.conform_gl_export(zone.gl_export(closed, opened)),
+        physical_export=conform.conform_physical_export(zone.physical_export(closed, opened)),
         summary=conform.conform_summary(zone.summary(periods), plant),
     )
 
@@ -70,7 +76,7 @@ def refresh(
     current = period_of(zone.calendar(), run_date)
     prior = current.prior()
     volumes = period_volumes(zone.extract([current]))
-    *settled, volumes = settle_all([*conform_landed(zone, [prior, current]), volumes])
+    *settled, volumes = settle_all([*conform_landed(zone, [prior], [current]), volumes])
     both = Ledgers(*settled)
 
     def only(period: FiscalPeriod) -> Ledgers:
@@ -121,6 +127,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledger-reconciliation").getOrCreate()
     store = HistoryStore(spark, args.history)
+    for spec in REPORTS:
+        store.create(spec.name, spec.stored_schema())
     history_counts(store).show()
     added = refresh(LandingZone(spark, args.landing), store, args.run_date, args.run_time)
     for name, rows in added.items():

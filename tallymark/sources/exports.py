@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +18,24 @@ LABEL_HEADER = "Act.Cost.Cntr"
 
 
 def read_export_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV export with a header line; the schema is given, so no pass to infer it."""
-    return spark.read.csv(path, header=True, schema=schema)
+    """CSV export with a header line; the schema is given, so no pass to infer it.
 
+    A header that differs from the schema in a name or in the order of its columns, and
+    a line that does not fit it, stop the read.
+    """
+    return spark.read.csv(
+        path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST"
+    )
 
-def read_export(spark: SparkSession, path: str, period_end: bool) -> DataFrame:
-    """Landed export; the current and the period-end file are two partitions."""
-    flag = "YES" if period_end else "NO"
-    return spark.read.parquet(path).where(F.col("period_end") == flag).drop("period_end")
+
+def of_period_ends(export: DataFrame, closed: Column, opened: Column) -> DataFrame:
+    """Period-end rows of closed periods and running rows of open ones.
+
+    A landed export holds both files of a period, told apart by ``PERIOD_END``; the
+    conditions say which periods are closed and which are open.
+    """
+    ended = F.col("PERIOD_END") == "YES"
+    return export.where((ended & closed) | (~ended & opened))
 
 
 def clean_headers(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tallymark.functions.fiscal import FiscalPeriod
 from tallymark.functions.text import period_key_text
 from tallymark.sources import schemas
+from tallymark.sources.exports import of_period_ends
 from tallymark.sources.schemas import meet_schema
 
 Periods = Iterable[FiscalPeriod] | None
@@ -62,8 +63,20 @@ class LandingZone:
         """The profitability view; its parameter is a filter on the landed rows."""
         rows = self.table("profitability").where(F.col("CurrencyType") == currency_type)
         kept = rows.where(fiscal_keys("FiscalYearPeriod", periods))
-        # A partition value is read back as a number.
-        return kept.withColumn("FiscalYearPeriod", F.col("FiscalYearPeriod").cast("string"))
+        return meet_schema(kept, schemas.PROFITABILITY)
+
+    def gl_export(self, closed: Periods = None, opened: Periods = None) -> DataFrame:
+        return self._export("gl_export", schemas.GL_EXPORT, closed, opened)
+
+    def physical_export(self, closed: Periods = None, opened: Periods = None) -> DataFrame:
+        return self._export("physical_export", schemas.PHYSICAL_EXPORT, closed, opened)
+
+    def _export(
+        self, name: str, schema: T.StructType, closed: Periods, opened: Periods
+    ) -> DataFrame:
+        """Exported report: closed periods from the period-end file, open ones from the other."""
+        wanted = [in_periods("YEAR", "PERIOD", periods) for periods in (closed, opened)]
+        return meet_schema(of_period_ends(self.table(name), *wanted), schema).drop("PERIOD_END")
 
     def snapshots(self, periods: Periods = None) -> DataFrame:
         """Numbered snapshots of the profitability figures, one partition per number."""

@@ -63,6 +63,62 @@ SNAPSHOT = _schema(
     Wholesale="money", COGS="money", DISC="money", NSI="money", YEAR="int", PERIOD="int",
 )
 
+# The columns of the profitability view, in its order.
+PROFITABILITY = T.StructType(
+    [
+        *[
+            T.StructField(name, T.StringType())
+            for name in (
+                "ProfitCenterText", "ProfitCenter", "FiscalYearPeriod",
+                "MaterialAccountAssignmentGroup",
+            )
+        ],
+        *[
+            T.StructField(name, MONEY)
+            for name in (
+                "VV998QPhysicalCases",
+                "ERLOSRevenue",
+                "VV004UpchargeChannel",
+                "VV076COGSPurchasedFG",
+                "VV078COGSConcentrate",
+                "VV079COGSIngredients",
+                "VV080COGSContainers",
+                "VV081COGSPackaging",
+                "VV082COGSLaborActivity",
+                "VV083COGSOtherOverheads",
+                "VV084Reserve50CGS",
+                "VV010EDVChannelDiscount",
+                "VV011EDVCustomer",
+                "VV013EmployeeDiscounts",
+                "VV022NMDOTHER",
+                "VV044CRMTPMOnInv",
+                "VV023VolumeDiscount",
+                "VV063Reserve35Swire",
+            )
+        ],
+    ]
+)
+
+
+def _export(*figures: str) -> T.StructType:
+    texts = ["Act.Cost.Cntr", "Act.Cost.Cntr.host.code"]
+    numbers = [T.StructField(n, T.IntegerType()) for n in ("YEAR", "PERIOD")]
+    return T.StructType(
+        [
+            *[T.StructField(n, T.StringType()) for n in texts],
+            *[T.StructField(n, MONEY) for n in figures],
+            *numbers,
+            T.StructField("PERIOD_END", T.StringType()),
+        ]
+    )
+
+
+# Headers of the two exported reports.
+GL_EXPORT = _export(
+    "Total.Gross.Vol", "NSI.Simple", "[Cona.NSI.Simple]$Cona_Sales", "NSI", "COGS.Simple"
+)
+PHYSICAL_EXPORT = _export("Vol.Gross.Sales.Volume")
+
 
 def meet_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast the columns of ``schema``; text loses the blanks that pad it.

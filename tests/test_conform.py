@@ -103,7 +103,7 @@ def view(spark, rows):
         " MaterialAccountAssignmentGroup string, n int",
     )
     return df.select(
-        "*", *[(F.col("n") * (i + 1)).cast("double").alias(f"{f}Label") for i, f in enumerate(fields)]
+        "*", *[(F.col("n") * (i + 1)).cast("double").alias(f) for i, f in enumerate(fields)]
     ).drop("n")
 
 
