@@ -9,6 +9,8 @@ the input. The work in four steps, each spread over all tasks:
    code once, so a passage that a third of the documents hold is combined first.
 2. A shard finds the codes that several blocks hold. Codes only nominate: the first
    block is asked for the passage, once for each group of documents that may repeat it.
+   (Two windows of a shard share a code of 48 bits with a chance of about one in 10^14
+   per pair; only then could a first holder be overlooked.)
 3. The asked group confirms by its text: it looks the windows up in its documents, joins
    neighbouring ones to passages, and sends the passages' words.
 4. Each group of documents compiles a shard of the automaton, from the passages it was
@@ -27,6 +29,7 @@ empty result; all columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -60,7 +63,22 @@ def _windows(texts: list[str | None], window: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _codes(hashes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
-    return ((hashes & np.uint64(0xFFFFFFFF)) % np.uint64(shards)).astype(np.int64), (hashes >> np.uint64(32)).astype(np.uint32)
+    """Shard, and a code of 48 bits within it."""
+    return (hashes % np.uint64(shards)).astype(np.int64), hashes >> np.uint64(16)
+
+
+def _pack(codes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(codes).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    wide[:, :6] = np.frombuffer(packed, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).reshape(-1)
+
+
+def _keys(shard: np.ndarray | int, codes: np.ndarray) -> np.ndarray:
+    return codes | np.uint64(shard) << np.uint64(48) if isinstance(shard, int) else codes | shard.astype(np.uint64) << np.uint64(48)
 
 
 def _group_of(block: np.ndarray, groups: int) -> np.ndarray:
@@ -97,7 +115,7 @@ def window_codes(rows: DataFrame, shards: int, window: int) -> DataFrame:
         out = []
         for a, b in zip(first, last, strict=True):
             blocks, counts = np.unique(place[a:b], return_counts=True)
-            out.append((names[blocks].tobytes(), counts.astype(np.int32).tobytes(), code[a:b].tobytes()))
+            out.append((names[blocks].tobytes(), counts.astype(np.int32).tobytes(), _pack(code[a:b])))
         columns = list(zip(*out, strict=True)) or [[], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["shard", "blocks", "counts", "codes"])
 
@@ -121,7 +139,7 @@ def nominate(codes: DataFrame, groups: int) -> DataFrame:
 
     def shared(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["shard"].iloc[0])
-        code = np.concatenate([np.frombuffer(c, np.uint32) for c in frame["codes"]])
+        code = np.concatenate([_unpack(c) for c in frame["codes"]])
         counts = np.concatenate([np.frombuffer(c, np.int32) for c in frame["counts"]])
         block = np.repeat(np.concatenate([np.frombuffer(b, np.int64) for b in frame["blocks"]]), counts)
         order = np.lexsort((block, code))
@@ -141,7 +159,7 @@ def nominate(codes: DataFrame, groups: int) -> DataFrame:
         return pd.DataFrame({
             "__g": names, "shard": np.full(len(names), shard),
             "blocks": [first[a:b].tobytes() for a, b in zip(begins, ends, strict=True)],
-            "codes": [code[a:b].tobytes() for a, b in zip(begins, ends, strict=True)],
+            "codes": [_pack(code[a:b]) for a, b in zip(begins, ends, strict=True)],
             "targets": [target[a:b].tobytes() for a, b in zip(begins, ends, strict=True)],
         })
 
@@ -162,7 +180,7 @@ def _show(shards: int, window: int):
         want = {"block": [], "key": [], "target": []}
         for shard, blocks, codes, targets in zip(*(asked.column(c).to_pylist() for c in ("shard", "blocks", "codes", "targets")), strict=True):
             want["block"].append(np.frombuffer(blocks, np.int64))
-            want["key"].append((np.uint64(shard) << np.uint64(32)) | np.frombuffer(codes, np.uint32).astype(np.uint64))
+            want["key"].append(_keys(shard, _unpack(codes)))
             want["target"].append(np.frombuffer(targets, np.int32))
         block, key, target = (np.concatenate(want[c]) for c in ("block", "key", "target"))
         all_ids = _ids(docs.column("__id"))
@@ -171,12 +189,14 @@ def _show(shards: int, window: int):
         ids = all_ids[chosen]
         texts = docs.column("__text").take(pa.array(chosen)).to_pylist()
         hashes, owner, place = _windows(texts, window)
-        shard, code = _codes(hashes, shards)
-        own = (shard.astype(np.uint64) << np.uint64(32)) | code.astype(np.uint64)
+        own = _keys(*_codes(hashes, shards))
         # The first document of a block for each of its windows: texts stand in order of id.
         at = np.flatnonzero(np.isin(own, key))
-        _, first = np.unique(np.stack([ids[owner[at]] // BLOCK, hashes[at].view(np.int64)]), axis=1, return_index=True) if len(at) else (None, at)
-        at = at[np.sort(first)] if len(at) else at
+        order = np.lexsort((at, hashes[at], ids[owner[at]] // BLOCK))
+        ordered = at[order]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (hashes[ordered][1:] != hashes[ordered][:-1]) | ((ids[owner[ordered]] // BLOCK)[1:] != (ids[owner[ordered]] // BLOCK)[:-1])
+        at = np.sort(ordered[new])
         frame = pd.DataFrame({"key": own[at], "block": ids[owner[at]] // BLOCK, "text": owner[at], "place": place[at]})
         hit = frame.merge(pd.DataFrame({"key": key, "block": block, "target": target}), on=["key", "block"]).sort_values(["target", "text", "place"])
         if not len(hit):
@@ -196,42 +216,68 @@ def _show(shards: int, window: int):
     return show
 
 
+def _spelled(codes: np.ndarray, letters: int) -> str:
+    """Each word number as two characters; 0 is a word of no pattern.
+
+    A node of the automaton looks through its children one by one, so an alphabet of the
+    root of the vocabulary is far faster than one of all words.
+    """
+    pairs = np.stack([codes // letters, codes % letters], axis=1).reshape(-1) + 1
+    return (pairs + 0x800 * (pairs >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
+
+
 def covered_words(ids: np.ndarray, words: list[list[bytes]], passages: list[tuple[int, list[bytes]]], window: int, repeated: np.ndarray, owner: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
     """Step 4 for one group: which words of each document go.
 
     ``repeated``, ``owner`` and ``place`` name the windows that several of the documents
-    share; ``passages`` come from documents with smaller ids outside the group.
+    share; ``passages`` come from documents with smaller ids outside the group. Words of
+    the patterns are numbered, so a text is a string of numbers to the automaton.
     """
-    numbers: dict[bytes, int] = {}
-    coded = [[numbers.setdefault(w, len(numbers)) for w in text] for text in words]
-    first: dict[tuple[int, ...], int] = {}
-    for holder, passage in passages:
-        code = [numbers.get(w, -1) for w in passage]
-        for at in range(len(code) - window + 1):
-            key = tuple(code[at : at + window])
-            if -1 not in key:
-                first[key] = min(first.get(key, holder), holder)
-    for at in np.flatnonzero(repeated):
-        text = owner[at]
-        key = tuple(coded[text][place[at] : place[at] + window])
-        holder = int(ids[text])
-        first[key] = min(first.get(key, holder), holder)
     gone = [np.zeros(len(text), dtype=bool) for text in words]
-    if not first:
+    own: dict[int, list[int]] = {}
+    for at in np.flatnonzero(repeated).tolist():
+        own.setdefault(int(owner[at]), []).append(int(place[at]))
+    numbers: dict[bytes, int] = {}
+    sources = [(holder, passage, range(len(passage) - window + 1)) for holder, passage in passages]
+    sources += [(int(ids[text]), words[text], sorted(places)) for text, places in own.items()]
+    for _, held, places in sources:
+        if isinstance(places, range):
+            wanted = held
+        else:
+            mask = np.zeros(len(held) + 1, dtype=np.int64)
+            np.add.at(mask, places, 1)
+            np.add.at(mask, np.array(places) + window, -1)
+            wanted = [held[i] for i in np.flatnonzero(np.cumsum(mask)[:-1]).tolist()]
+        for word in wanted:
+            if word not in numbers:
+                numbers[word] = len(numbers) + 1
+    if not numbers:
         return gone
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, holder in first.items():
-        automaton.add_word(key, holder)
+    letters = math.isqrt(len(numbers)) + 1
+    number = numbers.get
+    spelled = [_spelled(np.fromiter((number(w, 0) for w in text), np.int64, len(text)), letters) for text in words]
+    first: dict[str, int] = {}
+    texts = list(own)
+    for at, (holder, held, places) in enumerate(sources):
+        text = _spelled(np.fromiter((number(w, 0) for w in held), np.int64, len(held)), letters) if at < len(passages) else spelled[texts[at - len(passages)]]
+        for begin in places:
+            key = text[2 * begin : 2 * (begin + window)]
+            if first.setdefault(key, holder) > holder:
+                first[key] = holder
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    holders = list(first.values())
+    for at, key in enumerate(first):
+        automaton.add_word(key, at)
     automaton.make_automaton()
-    for number, code in enumerate(coded):
-        if len(code) < window:
-            continue
-        ends = [end for end, holder in automaton.iter(tuple(code)) if holder < ids[number]]
-        if ends:
-            steps = np.zeros(len(code) + 1, dtype=np.int64)
-            np.add.at(steps, np.array(ends) + 1 - window, 1)
-            np.add.at(steps, np.array(ends) + 1, -1)
-            gone[number] = np.cumsum(steps)[:-1] > 0
+    for at, text in enumerate(spelled):
+        found = np.array(list(automaton.iter(text)), dtype=np.int64).reshape(-1, 2) if len(text) >= 2 * window else np.zeros((0, 2), np.int64)
+        if len(found):
+            earlier = np.fromiter((holders[i] < ids[at] for i in found[:, 1].tolist()), bool, len(found))
+            ends = found[earlier & (found[:, 0] % 2 == 1), 0] // 2 + 1
+            steps = np.zeros(len(words[at]) + 1, dtype=np.int64)
+            np.add.at(steps, ends - window, 1)
+            np.add.at(steps, ends, -1)
+            gone[at] = np.cumsum(steps)[:-1] > 0
     return gone
 
 
