@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 from collections import defaultdict
 
 import brute
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from tallymark.llm import bpe, licenses, lines, near, packing, phrases, quality, rules
 
@@ -124,11 +124,11 @@ def test_chance_agreement_of_codes_removes_nothing(docs, monkeypatch):
 def test_bpe_round_trip(docs, empty, bound):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = bpe.tokenizer(path)
-    out = bpe.digest(bpe.decode(bpe.encode(docs, path, table_bytes=bound), path))
+    out = bpe.decode(bpe.encode(docs, path, table_bytes=bound), path)
     expected = []
     for i, text in DOCS:
         ids = library.encode(text or "", add_special_tokens=False).ids
-        expected.append((i, library.decode(ids, skip_special_tokens=False), len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()))
+        expected.append((i, ids, library.decode(ids, skip_special_tokens=False)))
     assert bag(tuple(r) for r in out.collect()) == bag(expected)
     assert bpe.encode(empty, path).count() == 0
 
@@ -227,7 +227,7 @@ def test_quality_classifier_learns_and_holds_out(spark, docs):
     frame = spark.createDataFrame(rows, SCHEMA)
     labels = spark.createDataFrame([(i, None if i % 50 == 1 else int(i % 4 != 0)) for i, _ in rows] + [(2, 0)], "doc_id bigint, quality int")
     model = quality.fit(frame, labels)
-    scored = quality.score(frame, model).withColumn("held", quality.held_out(frame["doc_id"])).collect()
+    scored = quality.score(frame, model).withColumn("held", quality.held_out(F.col("doc_id"))).collect()
     held = [r for r in scored if r.held]
     assert 150 < len(held) < 250
     assert sum((r.score >= 0.5) == (r.doc_id % 4 != 0) for r in held) >= 0.97 * len(held)
