@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from tallymark.functions.measures import ColumnLike, as_column
 
-# Wide enough for the longest packed decimal (31 digits) with eight decimals
-# to spare, so a value that fails to parse is malformed rather than too large.
+# Thirty whole digits and eight decimals. A number with more whole digits does not fit
+# and counts as malformed; a packed decimal has 31 digits, its decimals among them.
 PARSED = T.DecimalType(38, 8)
 
 
@@ -25,6 +25,7 @@ def number_or_null(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
 
 def signed_number(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
     """Exported number text to number: strip clutter, move a trailing minus, bad -> 0."""
+    # The two patterns.
     digits = F.regexp_replace(as_column(col), r"[^\d.\-]", "")
     # Few numbers carry a trailing minus; the others are spared the second pattern.
     moved = F.regexp_replace(digits, r"([0-9.]+)-$", "-$1")

@@ -94,7 +94,7 @@ def build_report(
 
     Every code of the index is in the profitability view or the extract, so left
     joins from the index give the rows that outer-joining all ledgers and keeping
-    the indexed codes would, and the ledgers stay hashed on the one key throughout.
+    the indexed codes would.
     """
     aligned = index.withColumnRenamed(NAME, "COSTCENTER")
     for side in spec.sides:

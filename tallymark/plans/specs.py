@@ -64,6 +64,7 @@ class ReportSpec:
         return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# Columns of the report, their order, and what each variance takes.
 PHYSICAL = ReportSpec(
     name="physical",
     sides=(
@@ -94,6 +95,7 @@ PHYSICAL = ReportSpec(
     fill_rest=False,
 )
 
+# Columns of the report, their order, and what each variance takes.
 GL = ReportSpec(
     name="gl",
     sides=(
@@ -120,6 +122,7 @@ GL = ReportSpec(
     ),
 )
 
+# Columns of the report, their order, and what each variance takes.
 NSI = ReportSpec(
     name="nsi",
     sides=(
@@ -162,6 +165,7 @@ NSI = ReportSpec(
     ),
 )
 
+# Columns of the report, their order, and what each variance takes.
 COGS = ReportSpec(
     name="cogs",
     sides=(
