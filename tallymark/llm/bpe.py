@@ -20,9 +20,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
+from unicodedata import is_normalized
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +36,23 @@ from tallymark.llm.words import text_slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: White space of the tokenizer's patterns (Unicode property White_Space).
+#: White space of the tokenizers' patterns (Unicode property White_Space).
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: A word with the space before it, or a run of white space up to such a space.
-SPACED_WORDS = f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
+SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 #: A word alone, for tokenizers that drop white space.
-BARE_WORDS = f"[^{WHITE}]+"
+BARE = re.compile(f"[^{WHITE}]+")
 
-KEEP_WORDS = 200_000
+_BREAKS = re.compile("(\n+)")
+#: Characters that str.split takes for white space and the tokenizers do not.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_OTHER_WHITE = "\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+#: Words that a task remembers; beyond it the older half stays, which holds the common ones.
+KEEP_WORDS = 500_000
+#: The same where a task also holds the shared table, or counts words.
+KEEP_BESIDE = 150_000
 
 
 @lru_cache(maxsize=4)
@@ -58,75 +71,201 @@ def specials(path: str) -> dict[str, int]:
         return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
 
 
+def spaced_units(text: str) -> list[str]:
+    """Words with the space before them and runs of white space, in order."""
+    if "  " in text or "\n " in text or " \n" in text or any(c in text for c in _OTHER_WHITE):
+        return SPACED.findall(text)
+    out: list[str] = []
+    parts = _BREAKS.split(text)
+    last = len(parts) - 1
+    for at, part in enumerate(parts):
+        if at % 2:
+            if at + 1 == last and not parts[last] or len(part) == 1:
+                out.append(part)
+            else:
+                out += (part[1:], "\n")
+        elif part:
+            words = part.replace(" ", "\0 ").split("\0") if "\0" not in part else SPACED.findall(part)
+            out += words if words[0] else words[1:]
+    return out
+
+
+def bare_units(text: str) -> list[str]:
+    """Words without white space, in order."""
+    return BARE.findall(text) if any(c in text for c in _SEPARATORS) else text.split()
+
+
+@lru_cache(maxsize=4)
+def letters_tokenizer(path: str):
+    """The same model for words of ASCII letters, which need no normaliser and no pattern."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    found = Tokenizer(tokenizer(path).model)
+    found.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    return found
+
+
+@lru_cache(maxsize=4)
+def word_ends(path: str) -> np.ndarray | None:
+    """Which ids end a word, if the vocabulary marks that."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    suffix = model.get("end_of_word_suffix")
+    if not suffix:
+        return None
+    ends = np.zeros(max(model["vocab"].values()) + 1024, dtype=bool)
+    ends[[i for piece, i in model["vocab"].items() if piece.endswith(suffix)]] = True
+    return ends
+
+
 class WordEncoder:
-    """Ids of texts, as little-endian 32-bit numbers, by way of a table of words."""
+    """Ids of texts, as little-endian 32-bit numbers, by way of a table of words.
 
-    def __init__(self, path: str, pattern: str, table: dict[str, bytes] | None = None):
-        self.path, self.fixed, self.own = path, table or {}, {}
-        self.words: Callable[[str], list[str]] = re.compile(pattern).findall
-        self.special = specials(path)
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else (lambda text: [text])
+    ``units`` splits a text where the tokenizer never merges. ``fold`` says that the
+    tokenizer puts words in lower case, so that their table can.
+    """
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in tokenizer(self.path).encode_batch(words, add_special_tokens=False)]
+    def __init__(self, path: str, units: Callable[[str], list[str]] = spaced_units, fold: bool = False, table: dict[str, bytes] | None = None, keep: int = KEEP_WORDS):
+        self.path, self.units, self.fold, self.keep = path, units, fold, keep
+        self.fixed = table or {}
+        self.own, self.cores = dict(self.fixed), {}
+        self.special = specials(path)
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
+        self.mark = next(iter(self.special.items()), None)
 
-    def _parts(self, text: str) -> list[tuple[int | None, list[str]]]:
+    def parts(self, text: str) -> list[tuple[int | None, list[str]]]:
+        """Special tokens and, between them, the words."""
         if not any(s in text for s in self.special):
-            return [(None, self.words(text))]
-        return [(self.special[p], []) if p in self.special else (None, self.words(p)) for p in self.cut(text) if p]
+            return [(None, self.units(text))]
+        return [(self.special[p], []) if p in self.special else (None, self.units(p)) for p in self.cut(text) if p]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The library's ids of each word, for many words in one call.
+
+        Words are joined where the ids show the joint again: letters alone by a space,
+        if the vocabulary marks the ends of words; words without inner white space by a
+        line break, which has an id of its own; others by a special token.
+        """
+        ends = word_ends(self.path)
+        if ends is not None:
+            kinds = {True: [], False: [], None: []}
+            for word in words:
+                kinds[word.isascii() and (word.islower() or not self.fold) if word.isalpha() else None].append(word)
+            found = self._by_ends(kinds[True], letters_tokenizer(self.path), ends) | self._by_ends(kinds[False], tokenizer(self.path), ends)
+            rest = kinds[None]
+        else:
+            plain = [w for w in words if w.removeprefix(" ") and not _ANY_WHITE.search(w, 1)]
+            found, rest = self._by_break(plain), [w for w in words if not w.removeprefix(" ") or _ANY_WHITE.search(w, 1)]
+        found |= self._by_special([w for w in rest if w not in found])
+        left = [w for w in words if w not in found]
+        if left:  # a joint did not show: one by one
+            found |= {w: _packed(e.ids) for w, e in zip(left, tokenizer(self.path).encode_batch(left, add_special_tokens=False), strict=True)}
+        return [found[w] for w in words]
+
+    def _by_ends(self, words: list[str], library, ends: np.ndarray) -> dict[str, bytes]:
+        if not words:
+            return {}
+        ids = _ids(library, " ".join(words))
+        last = np.flatnonzero(ends[ids]) + 1
+        return _cut(ids, np.append(0, last[:-1]), last, words)
+
+    def _by_break(self, words: list[str]) -> dict[str, bytes]:
+        mark = _ids(tokenizer(self.path), "\n")
+        if not words or len(mark) != 1:
+            return {}
+        ids = _ids(tokenizer(self.path), "\n".join(words) + "\n")
+        last = np.flatnonzero(ids == mark[0])
+        return _cut(ids, np.append(0, last[:-1] + 1), last, words)
+
+    def _by_special(self, words: list[str]) -> dict[str, bytes]:
+        if not words or self.mark is None:
+            return {}
+        text, number = self.mark
+        ids = _ids(tokenizer(self.path), text.join(words) + text)
+        last = np.flatnonzero(ids == number)
+        return _cut(ids, np.append(0, last[:-1] + 1), last, words)
+
+    def _core(self, word: str) -> tuple[str, str]:
+        """A word as letters and the ASCII marks after them, which never merge, if it is that."""
+        if word.isascii() and word.isalpha():
+            return word.lower() if self.fold else word, ""
+        letters = word.rstrip(_MARKS)
+        bare = letters.removeprefix(" ")
+        if not bare.isalpha():
+            return word, ""
+        if not self.fold or letters.isascii():
+            return letters.lower() if self.fold else letters, word[len(letters) :]
+        # A letter that normalises to a letter and a mark would join the marks after it.
+        if "\u0130" in letters or not is_normalized("NFC", letters):
+            return word, ""
+        return letters, word[len(letters) :]
+
+    def learn(self, words: set[str]) -> None:
+        """Put words into the task's own table."""
+        if len(self.own) > len(self.fixed) + self.keep:
+            self.own = dict(islice(self.own.items(), len(self.fixed) + self.keep // 2))
+        if len(self.cores) > self.keep:
+            self.cores = dict(islice(self.cores.items(), self.keep // 2))
+        new = list(words.difference(self.own))
+        split = list(map(self._core, new))
+        unknown = list({c for pair in split for c in pair if c}.difference(self.cores))
+        for begin in range(0, len(unknown), 4096):
+            part = unknown[begin : begin + 4096]
+            self.cores.update(zip(part, self.encode_words(part), strict=True))
+        cores = self.cores
+        self.own.update((w, cores[a] + cores[b] if b else cores[a]) for w, (a, b) in zip(new, split, strict=True))
 
     def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
-        parted = [self._parts(t) if t else [] for t in texts]
-        if len(self.own) > KEEP_WORDS:
-            self.own.clear()
-        fixed, own = self.fixed, self.own
-        new = list({w for parts in parted for _, words in parts for w in words if w not in own and w not in fixed})
-        own.update(zip(new, self.encode_words(new), strict=True))
-        table = own if not fixed else _Both(fixed, own)
-        return [b"".join(_packed([special]) if special is not None else b"".join(map(table.__getitem__, words)) for special, words in parts) for parts in parted]
+        parted = [self.parts(t) if t else [] for t in texts]
+        self.learn(set().union(*(words for parts in parted for _, words in parts)))
+        get = self.own.__getitem__
+        return [b"".join(_packed([special]) if special is not None else b"".join(map(get, words)) for special, words in parts) for parts in parted]
+
+
+_ANY_WHITE = re.compile(f"[{WHITE}]")
 
 
-class _Both(dict):
-    """The fixed table first, then the task's own."""
+def _ids(library, text: str) -> np.ndarray:
+    return np.array(library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def __init__(self, fixed: dict[str, bytes], own: dict[str, bytes]):
-        super().__init__()
-        self.fixed, self.own = fixed, own
 
-    def __getitem__(self, word: str) -> bytes:
-        ids = self.fixed.get(word)
-        return self.own[word] if ids is None else ids
+def _cut(ids: np.ndarray, begins: np.ndarray, ends: np.ndarray, words: list[str]) -> dict[str, bytes]:
+    """The ids between the joints, by word; nothing if there are not as many as words."""
+    if len(ends) != len(words):
+        return {}
+    packed = ids.tobytes()
+    return {w: packed[4 * a : 4 * b] for w, a, b in zip(words, begins.tolist(), ends.tolist(), strict=True)}
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return np.array(ids, dtype="<u4").tobytes()
 
 
-def word_table(docs: DataFrame, path: str, pattern: str = SPACED_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def word_table(docs: DataFrame, path: str, units: Callable[[str], list[str]] = spaced_units, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every distinct word, its count over all documents, and its ids: encoded once each."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, pattern)
-        held: dict[str, int] = {}
+        encoder = WordEncoder(path, units)
+        held: Counter[str] = Counter()
 
-        def flush():
+        def flush() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
             held.clear()
             return out
 
         for batch in text_slices(batches):
             for text in batch.column("__text").to_pylist():
-                for _, found in encoder._parts(text) if text else []:
-                    for word in found:
-                        held[word] = held.get(word, 0) + 1
-            if len(held) > KEEP_WORDS:
+                for _, found in encoder.parts(text) if text else []:
+                    held.update(found)
+            if len(held) > KEEP_BESIDE:
                 yield flush()
         yield flush()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, pattern)
+        encoder = WordEncoder(path, units)
         for batch in batches:
-            ids = encoder.encode_words(batch.column("word").to_pylist())
+            found = batch.column("word").to_pylist()
+            ids = [i for begin in range(0, len(found), 4096) for i in encoder.encode_words(found[begin : begin + 4096])]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
     counted = id_and_text(docs, id_col, text_col).mapInArrow(words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
@@ -152,18 +291,21 @@ def frequent(table: DataFrame, table_bytes: int) -> dict[str, bytes]:
     return {r["word"]: bytes(r["ids"]) for r in sized.where(F.col("level") >= least).select("word", "ids").toLocalIterator()}
 
 
-def encode(docs: DataFrame, path: str, pattern: str = SPACED_WORDS, table_bytes: int = 16 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and ``ids``: the whole text's token ids as little-endian unsigned 32-bit numbers."""
+def encode(docs: DataFrame, path: str, units: Callable[[str], list[str]] = spaced_units, table_bytes: int = 24 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id and ``ids``, the whole text's token ids as an array."""
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent(word_table(docs, path, pattern, id_col, text_col), table_bytes))
+    table = spark.sparkContext.broadcast(frequent(word_table(docs, path, units, id_col, text_col), table_bytes))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, pattern, table.value)
-        for batch in text_slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(encoder(batch.column("__text").to_pylist()), pa.binary())], names=["__id", "ids"])
+        encoder = WordEncoder(path, units, table=table.value, keep=KEEP_BESIDE)
+        for batch in text_slices(batches, most_bytes=1 << 21):
+            packed = encoder(batch.column("__text").to_pylist())
+            ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
+            values = np.frombuffer(b"".join(packed), dtype="<i4")
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], names=["__id", "ids"])
 
     rows = id_and_text(docs, id_col, text_col)
-    out = rows.mapInArrow(ids, f"__id {rows.schema['__id'].dataType.simpleString()}, ids binary")
+    out = rows.mapInArrow(ids, f"__id {rows.schema['__id'].dataType.simpleString()}, ids array<int>")
     return out.withColumnRenamed("__id", id_col)
 
 
@@ -183,38 +325,17 @@ def byte_pieces(path: str) -> list[bytes]:
     return [pieces.get(i, b"") for i in range(max(pieces) + 1)]
 
 
-def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", text: str = "decoded") -> DataFrame:
+def decode(coded: DataFrame, path: str, ids_col: str = "ids", text: str = "decoded") -> DataFrame:
     """All columns and the text of the ids, by the table of pieces."""
-    import numpy as np
+    place = coded.columns.index(ids_col)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = byte_pieces(path)
-        for batch in text_slices(batches, ids_col):
-            out = [b"".join(map(pieces.__getitem__, np.frombuffer(i or b"", "<u4").tolist())).decode("utf-8", "replace") for i in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 256):
+                batch = whole.slice(begin, 256)
+                out = [b"".join(map(pieces.__getitem__, ids or ())).decode("utf-8", "replace") for ids in batch.column(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
     return coded.mapInArrow(texts, f"{fields}, `{text}` string")
-
-
-def digest(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Id, ``n_tokens``, ``ids_text`` hashed: SHA-256 of the decimal ids joined by commas."""
-    import hashlib
-
-    import numpy as np
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[int, str] = {}
-        for batch in text_slices(batches, ids_col):
-            counts, hashes = [], []
-            for packed in batch.column(ids_col).to_pylist():
-                ids = np.frombuffer(packed or b"", "<u4").tolist()
-                for i in set(ids) - numbers.keys():
-                    numbers[i] = str(i)
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(numbers.__getitem__, ids)).encode()).hexdigest())
-            others = [c for c in batch.schema.names if c != ids_col]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(counts, pa.int64()), pa.array(hashes, pa.string())], names=[*others, "n_tokens", "ids_sha256"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields if f.name != ids_col)
-    return coded.mapInArrow(rows, f"{fields}, n_tokens bigint, ids_sha256 string")

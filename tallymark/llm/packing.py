@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.bpe import BARE_WORDS, WordEncoder
+from tallymark.llm.bpe import WordEncoder, bare_units
 from tallymark.llm.store import id_and_text, pieces_of, settle
 from tallymark.llm.words import text_slices
 
@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 1, id
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, BARE_WORDS)
+        encoder = WordEncoder(path, bare_units, fold=True)
         for batch in text_slices(batches):
             rows, at = [], []
             for row, packed in enumerate(encoder(batch.column("__text").to_pylist())):

@@ -47,7 +47,8 @@ def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 def op6_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.decode(bpe.encode(table(spark, folder, "documents"), path), path)
-    return bpe.digest(coded.select("doc_id", "ids", F.sha2("decoded", 256).alias("decoded_sha256")))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
