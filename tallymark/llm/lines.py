@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.store import attach, id_and_text
+from tallymark.llm.store import id_and_text, numbered, settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -38,20 +38,21 @@ def _hashes(key: Column) -> Column:
 
 
 def shared_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Positions to drop: ``__key`` (document id) and ``__drop`` (array of positions).
+    """Positions to drop: ``__key`` (id), ``__text_key`` (hash of the text) and ``__drop``.
 
     The count is a grouped sum with a partial step, so a line that a third of the
-    documents hold is one row per task before the shuffle. The join back is on the hash
-    and its hot keys are split by adaptive execution.
+    documents hold is one row per task before the shuffle. The shared hashes are settled,
+    so that the join back has plain shuffles on both sides and adaptive execution can
+    split its hot keys.
     """
     keyed = (
         id_and_text(docs, id_col, text_col)
-        .select("__id", F.posexplode(F.transform(lines_of(F.col("__text")), line_key)).alias("__at", "__line"))
+        .select("__id", F.xxhash64("__text").alias("__row"), F.posexplode(F.transform(lines_of(F.col("__text")), line_key)).alias("__at", "__line"))
         .where(F.char_length("__line") >= min_chars)
-        .select("__id", "__at", _hashes(F.col("__line")).alias("__h"))
-        .select("__id", "__at", "__h.a", "__h.b")
+        .select("__id", "__row", "__at", _hashes(F.col("__line")).alias("__h"))
+        .select("__id", "__row", "__at", "__h.a", "__h.b")
     )
-    counted = (
+    counted = settle(
         keyed.groupBy("a", "b", "__id")
         .agg(F.lit(1).alias("one"))
         .groupBy("a", "b")
@@ -62,7 +63,7 @@ def shared_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col
     return (
         keyed.join(counted, ["a", "b"])
         .where(~F.col("__id").eqNullSafe(F.col("__last")))
-        .groupBy(F.col("__id").alias("__key"))
+        .groupBy(F.col("__id").alias("__key"), F.col("__row").alias("__text_key"))
         .agg(F.collect_list("__at").alias("__drop"))
     )
 
@@ -74,13 +75,16 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, id_col:
     drop and lines dropped.
     """
     found = shared_lines(docs, min_chars, min_docs, id_col, text_col)
-    held = attach(docs, found, id_col).withColumn("__lines", lines_of(F.col(f"`{text_col}`")))
+    key, place = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    same = key.eqNullSafe(F.col("__key")) & (F.xxhash64(place) == F.col("__text_key"))
+    joined = numbered(docs).join(found, same, "left")
+    held = joined.withColumn("__lines", lines_of(place))
     size = F.size("__lines")
     # Positions left over, by a hash set: a text of many thousand lines stays linear.
     stay = F.array_except(F.sequence(F.lit(0), size - 1), F.col("__drop"))
     text = F.array_join(F.transform(stay, lambda at: F.get(F.col("__lines"), at)), "\n")
-    text = F.when(F.col("__drop").isNull(), F.col(f"`{text_col}`")).otherwise(text)
-    named = [text.alias(text_col) if name == text_col else F.col(f"`{name}`") for name in docs.columns]
+    text = F.when(F.col("__drop").isNull(), place).otherwise(text)
+    named = [(text if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(docs.columns)]
     if n_lines:
         named.append(size.cast("long").alias(n_lines))
     if n_dropped:

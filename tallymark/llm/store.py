@@ -24,14 +24,9 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def attach(docs: DataFrame, found: DataFrame, id_col: str, how: str = "left") -> DataFrame:
-    """Join ``found`` (one row per id, key column ``__key``) to ``docs`` by id.
-
-    Null ids meet each other. ``found`` carries names that start with two underscores
-    only, so columns of ``docs`` never clash with them.
-    """
-    joined = docs.join(found, docs[id_col].eqNullSafe(found["__key"]), how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop("__key")
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same rows under the names c0, c1, ..., so that no helper column can clash."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
