@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,8 +72,13 @@ def refresh(
     run_date: dt.date,
     run_ts: dt.datetime,
     run_id: str | None = None,
+    between: Callable[[], None] | None = None,
 ) -> dict[str, int]:
-    """One run. Returns the rows each history table gained."""
+    """One run. Returns the rows each history table gained.
+
+    The prior period is stored in all four tables before the current one; ``between``
+    is called in the middle, for counts.
+    """
     current = period_of(zone.calendar(), run_date)
     prior = current.prior()
     volumes = period_volumes(zone.extract([current]))
@@ -88,13 +94,18 @@ def refresh(
     run_id = run_id or run_ts.strftime("%Y%m%dT%H%M%S")
     pairs = period_pair(only(prior), opened, run_date)
 
-    def append(name: str) -> int:
-        ended, running = pairs[name]
-        return store.append(name, ended.unionByName(running), run_id, run_date, run_ts)
+    def append(batch: int) -> list[int]:
+        """Store one batch of every report; the tables do not depend on each other."""
+        tasks = [
+            partial(store.append, name, pair[batch], run_id, run_date, run_ts)
+            for name, pair in pairs.items()
+        ]
+        return side_by_side(store.spark, tasks)
 
-    # The four tables do not depend on each other.
-    appends = [partial(append, name) for name in pairs]
-    return dict(zip(pairs, side_by_side(store.spark, appends)))
+    ended = append(0)
+    if between:
+        between()
+    return dict(zip(pairs, map(sum, zip(ended, append(1)))))
 
 
 def refresh_sheets(
@@ -130,7 +141,10 @@ def main(argv: list[str] | None = None) -> None:
     for spec in REPORTS:
         store.create(spec.name, spec.stored_schema())
     history_counts(store).show()
-    added = refresh(LandingZone(spark, args.landing), store, args.run_date, args.run_time)
+    added = refresh(
+        LandingZone(spark, args.landing), store, args.run_date, args.run_time,
+        between=lambda: history_counts(store).show(),
+    )
     for name, rows in added.items():
         print(f"{name}: {rows} rows added")
     history_counts(store).show()

@@ -78,7 +78,11 @@ def test_refresh_appends_both_periods_once(spark, landing, tmp_path):
         r.USADAT
         for r in landing.calendar().where("year(USADAT) = 2019 and PERIOD = 1").orderBy("USADAT").collect()
     )
-    added = job.refresh(landing, store, run_date, MORNING)
+    middle = []
+    added = job.refresh(
+        landing, store, run_date, MORNING,
+        between=lambda: middle.append({n: rows for n, rows, _ in plain_rows(history_counts(store))}),
+    )
     assert set(added) == {"physical", "gl", "nsi", "cogs"} and all(added.values())
     again = job.refresh(landing, store, run_date, MORNING + dt.timedelta(hours=1))
     assert set(again.values()) == {0}
@@ -96,6 +100,7 @@ def test_refresh_appends_both_periods_once(spark, landing, tmp_path):
         history = store.read(spec.name, spec.stored_schema())
         stored = history.where(F.col("PERIODEND") == "YES").select(*batch.columns)
         assert plain_rows(stored) == plain_rows(batch)
+        assert middle[0][spec.name] == stored.count() < added[spec.name]
         ends = history.groupBy("YEAR", "PERIOD", "PERIODEND", "MOSTRECENT").count().collect()
         assert {tuple(r)[:4] for r in ends} == {(2018, 12, "YES", "YES"), (2019, 1, "NO", "YES")}
 
