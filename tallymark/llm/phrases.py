@@ -45,8 +45,8 @@ from tallymark.llm.words import gram_hashes, text_slices, word_hashes
 
 WINDOW = 13
 BLOCK = 64
-BATCH_BYTES = 1 << 24
-SHARD_BYTES = 1 << 24
+BATCH_BYTES = 1 << 23
+SHARD_BYTES = 1 << 23
 GROUP_BYTES = 1 << 21
 NO_ID = -(1 << 63)
 

@@ -48,7 +48,7 @@ class Powers:
 
     def need(self, count: int) -> None:
         if len(self.up) <= count:
-            count = max(count, 2 * len(self.up), 1 << 16)
+            count = max(count + count // 4, 1 << 16)
             self.up, self.down = _powers(self.base, count), _powers(_inverse(self.base), count)
 
 
@@ -108,7 +108,7 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * _WORDS.down[:count])
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "__text", most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], column: str = "__text", most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most_bytes`` of text; a longer text stands alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
