@@ -29,15 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.components import components
-from tallymark.llm.store import settle
+from tallymark.llm.store import numbered, settle
 from tallymark.llm.words import gram_hashes, mix, signed, text_slices, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES = 16
-DEPTH = 6
+TREES = 20
+DEPTH = 5
 SHORTEST = 4
-TARGET = 0.995
+TARGET = 0.999
 BLOCK = 512
 NO_ID = -(1 << 63)
 
@@ -296,5 +296,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_i
     """The document with the least id of each class, with all its columns."""
     found = join(docs, threshold, id_col=id_col, text_col=text_col)
     gone = found.where(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__key")).distinct()
-    named = docs.withColumn("__own", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)))
-    return named.join(gone, F.col("__own") == F.col("__key"), "left_anti").dropDuplicates(["__own"]).drop("__own")
+    own = F.coalesce(F.col(f"c{docs.columns.index(id_col)}").cast("long"), F.lit(NO_ID)).alias("__own")
+    named = numbered(docs).select("*", own)
+    kept = named.join(gone, F.col("__own") == F.col("__key"), "left_anti").dropDuplicates(["__own"])
+    return kept.drop("__own").toDF(*docs.columns)
