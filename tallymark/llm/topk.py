@@ -29,7 +29,8 @@ PIVOTS = 8
 PIVOT_SAMPLE = 512
 QUERY_BLOCK = 1024
 BLOCK = 8192
-STEP = 512
+#: Candidates evaluated before the first look at the bound; doubled after each look.
+STEP = 256
 
 
 def quantised(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -84,25 +85,32 @@ def _pack(pivots: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 def best_in_block(q: np.ndarray, q_ids: np.ndarray, q_far: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_far: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
     """(query, candidate, score) of each query's k best in a block, never itself."""
-    exact = np.float64 if max(np.abs(q).sum(1).max(), 1) * max(np.abs(x).max(), 1) < 2**52 else np.int64
+    # The narrowest numbers that hold every partial sum of a product exactly.
+    largest = max(np.abs(q).sum(1).max(), 1) * max(np.abs(x).max(), 1)
+    exact = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64
     points, queries = x.astype(exact), q.astype(exact)
     x_norm, q_norm = (x.astype(np.float64) ** 2).sum(1), (q.astype(np.float64) ** 2).sum(1)
+    columns = np.ascontiguousarray(x_far.T)
     for row in range(len(q)):
-        gap = np.abs(x_far - q_far[row]).max(1) if x_far.shape[1] else np.zeros(len(x))
+        gap = np.zeros(len(x))
+        for column, distance in zip(columns, q_far[row], strict=True):
+            np.maximum(gap, np.abs(column - distance), out=gap)
         bound = (q_norm[row] + x_norm - gap**2) / 2
-        bound += 1e-9 * (q_norm[row] + x_norm) + 1e-6  # rounding never lowers a bound
+        bound += 1e-6 * (q_norm[row] + x_norm) + 1e-6  # rounding, to 32 bits too, never lowers a bound
         bound[x_ids == q_ids[row]] = -np.inf
-        order = np.argsort(-bound)
+        short = bound.astype(np.float32)
+        order = np.argsort(-short)
         order = order[: np.count_nonzero(np.isfinite(bound))]
-        ids, found = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for begin in range(0, len(order), STEP):
-            if len(found) == k and found[-1] > bound[order[begin]]:
-                break
-            part = order[begin : begin + STEP]
-            ids = np.concatenate((ids, x_ids[part]))
-            found = np.concatenate((found, (points[part] @ queries[row]).astype(np.int64)))
+        ids, found, begin, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, STEP
+        while begin < len(order) and not (len(found) == k and found[-1] > short[order[begin]]):
+            part = order[begin : begin + step]
+            scored = (points[part] @ queries[row]).astype(np.int64)
+            if len(found) == k:  # what the k-th best excludes is left out before sorting
+                part, scored = part[scored >= found[-1]], scored[scored >= found[-1]]
+            ids, found = np.concatenate((ids, x_ids[part])), np.concatenate((found, scored))
             best = np.lexsort((ids, -found))[:k]
             ids, found = ids[best], found[best]
+            begin, step = begin + step, 2 * step
         for i, s in zip(ids.tolist(), found.tolist(), strict=True):
             yield int(q_ids[row]), i, s
 
