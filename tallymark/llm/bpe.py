@@ -28,10 +28,11 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.store import id_and_text
+from tallymark.llm.store import id_and_text, settle
 from tallymark.llm.words import text_slices
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,12 +48,12 @@ _BREAKS = re.compile("(\n+)")
 #: Characters that str.split takes for white space and the tokenizers do not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _OTHER_WHITE = "\t\x0b\x0c\r\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
-_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+_LETTERS_AND_MARKS = re.compile(r"( ?[^\W_]+)([!-/:-@\[-`{-~]*)").fullmatch
 
 #: Words that a task remembers; beyond it the older half stays, which holds the common ones.
-KEEP_WORDS = 500_000
+KEEP_WORDS = 400_000
 #: The same where a task also holds the shared table, or counts words.
-KEEP_BESIDE = 150_000
+KEEP_BESIDE = 300_000
 
 
 @lru_cache(maxsize=4)
@@ -118,6 +119,12 @@ def word_ends(path: str) -> np.ndarray | None:
     return ends
 
 
+@lru_cache(maxsize=1)
+def _remembered(path: str, units: str) -> dict[str, bytes]:
+    """Words and ids that a worker carries from one task to its next."""
+    return {}
+
+
 class WordEncoder:
     """Ids of texts, as little-endian 32-bit numbers, by way of a table of words.
 
@@ -125,10 +132,11 @@ class WordEncoder:
     tokenizer puts words in lower case, so that their table can.
     """
 
-    def __init__(self, path: str, units: Callable[[str], list[str]] = spaced_units, fold: bool = False, table: dict[str, bytes] | None = None, keep: int = KEEP_WORDS):
+    def __init__(self, path: str, units: Callable[[str], list[str]] = spaced_units, fold: bool = False, table: dict[str, bytes] | None = None, keep: int = KEEP_WORDS, memory: dict[str, bytes] | None = None):
         self.path, self.units, self.fold, self.keep = path, units, fold, keep
         self.fixed = table or {}
-        self.own, self.cores = dict(self.fixed), {}
+        self.own = {} if memory is None else memory
+        self.own.update(self.fixed)
         self.special = specials(path)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split if self.special else None
         self.mark = next(iter(self.special.items()), None)
@@ -154,8 +162,11 @@ class WordEncoder:
             found = self._by_ends(kinds[True], letters_tokenizer(self.path), ends) | self._by_ends(kinds[False], tokenizer(self.path), ends)
             rest = kinds[None]
         else:
-            plain = [w for w in words if w.removeprefix(" ") and not _ANY_WHITE.search(w, 1)]
-            found, rest = self._by_break(plain), [w for w in words if not w.removeprefix(" ") or _ANY_WHITE.search(w, 1)]
+            letters, plain, rest = [], [], []
+            for word in words:
+                bare = word.removeprefix(" ")
+                (letters if bare.isascii() and bare.isalpha() else rest if not bare or _ANY_WHITE.search(word, 1) else plain).append(word)
+            found = self._by_break(letters, letters_tokenizer(self.path), "\u0120", " \u010a ") | self._by_break(plain, tokenizer(self.path), " ", "\n")
         found |= self._by_special([w for w in rest if w not in found])
         left = [w for w in words if w not in found]
         if left:  # a joint did not show: one by one
@@ -169,11 +180,13 @@ class WordEncoder:
         last = np.flatnonzero(ends[ids]) + 1
         return _cut(ids, np.append(0, last[:-1]), last, words)
 
-    def _by_break(self, words: list[str]) -> dict[str, bytes]:
-        mark = _ids(tokenizer(self.path), "\n")
+    def _by_break(self, words: list[str], library, space: str, joint: str) -> dict[str, bytes]:
+        """``space`` and ``joint`` spell a leading space and a line break for ``library``."""
+        mark = _ids(library, joint)
         if not words or len(mark) != 1:
             return {}
-        ids = _ids(tokenizer(self.path), "\n".join(words) + "\n")
+        spelled = words if space == " " else [w.replace(" ", space) for w in words]
+        ids = _ids(library, joint.join(spelled) + joint)
         last = np.flatnonzero(ids == mark[0])
         return _cut(ids, np.append(0, last[:-1] + 1), last, words)
 
@@ -185,35 +198,34 @@ class WordEncoder:
         last = np.flatnonzero(ids == number)
         return _cut(ids, np.append(0, last[:-1] + 1), last, words)
 
-    def _core(self, word: str) -> tuple[str, str]:
-        """A word as letters and the ASCII marks after them, which never merge, if it is that."""
-        if word.isascii() and word.isalpha():
-            return word.lower() if self.fold else word, ""
-        letters = word.rstrip(_MARKS)
-        bare = letters.removeprefix(" ")
-        if not bare.isalpha():
-            return word, ""
-        if not self.fold or letters.isascii():
-            return letters.lower() if self.fold else letters, word[len(letters) :]
+    def _split(self, words: list[str]) -> list[tuple[str, str]]:
+        """Each word as letters and the ASCII marks after them, which never merge, if it is that."""
+        found = [m.groups() if m else (w, "") for w, m in zip(words, map(_LETTERS_AND_MARKS, words), strict=True)]
+        return list(map(self._folded, found, words)) if self.fold else found
+
+    @staticmethod
+    def _folded(pair: tuple[str, str], word: str) -> tuple[str, str]:
+        letters, marks = pair
+        if letters.isascii():
+            return (letters.lower(), marks) if letters.isalpha() else pair
         # A letter that normalises to a letter and a mark would join the marks after it.
-        if "\u0130" in letters or not is_normalized("NFC", letters):
-            return word, ""
-        return letters, word[len(letters) :]
+        return (word, "") if "\u0130" in letters or not is_normalized("NFC", letters) else pair
 
     def learn(self, words: set[str]) -> None:
-        """Put words into the task's own table."""
+        """Put words, and the letters in them, into the task's own table."""
         if len(self.own) > len(self.fixed) + self.keep:
-            self.own = dict(islice(self.own.items(), len(self.fixed) + self.keep // 2))
-        if len(self.cores) > self.keep:
-            self.cores = dict(islice(self.cores.items(), self.keep // 2))
-        new = list(words.difference(self.own))
-        split = list(map(self._core, new))
-        unknown = list({c for pair in split for c in pair if c}.difference(self.cores))
+            older = list(islice(self.own.items(), self.keep // 2))
+            self.own.clear()
+            self.own.update(self.fixed)
+            self.own.update(older)
+        own = self.own
+        new = list(words.difference(own))
+        split = self._split(new)
+        unknown = list({c for pair in split for c in pair if c}.difference(own))
         for begin in range(0, len(unknown), 4096):
             part = unknown[begin : begin + 4096]
-            self.cores.update(zip(part, self.encode_words(part), strict=True))
-        cores = self.cores
-        self.own.update((w, cores[a] + cores[b] if b else cores[a]) for w, (a, b) in zip(new, split, strict=True))
+            own.update(zip(part, self.encode_words(part), strict=True))
+        own.update((w, own[a] + own[b] if b else own[a]) for w, (a, b) in zip(new, split, strict=True) if b or w != a)
 
     def __call__(self, texts: Iterable[str | None]) -> list[bytes]:
         parted = [self.parts(t) if t else [] for t in texts]
@@ -242,7 +254,7 @@ def _packed(ids: list[int]) -> bytes:
 
 
 def word_table(docs: DataFrame, path: str, units: Callable[[str], list[str]] = spaced_units, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every distinct word, its count over all documents, and its ids: encoded once each."""
+    """Every distinct word and its count over all documents."""
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path, units)
@@ -261,25 +273,32 @@ def word_table(docs: DataFrame, path: str, units: Callable[[str], list[str]] = s
                 yield flush()
         yield flush()
 
+    return id_and_text(docs, id_col, text_col).mapInArrow(words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def encoded(table: DataFrame, path: str, units: Callable[[str], list[str]] = spaced_units) -> DataFrame:
+    """The words of a table with their ids, each encoded once."""
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path, units)
         for batch in batches:
             found = batch.column("word").to_pylist()
             ids = [i for begin in range(0, len(found), 4096) for i in encoder.encode_words(found[begin : begin + 4096])]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], names=["word", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], names=["word", "ids"])
 
-    counted = id_and_text(docs, id_col, text_col).mapInArrow(words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.mapInArrow(encode, "word string, n bigint, ids binary")
+    return table.select("word").mapInArrow(encode, "word string, ids binary")
 
 
-def frequent(table: DataFrame, table_bytes: int) -> dict[str, bytes]:
-    """The most frequent words of the table, up to the bound.
+def frequent(table: DataFrame, path: str, table_bytes: int, units: Callable[[str], list[str]] = spaced_units) -> dict[str, bytes]:
+    """The most frequent words and their ids, up to the bound.
 
-    A least count is found from a histogram by powers of two first; only words that
-    occur that often are then brought to the driver, and their bytes are known to fit.
+    A least count is found from a histogram by powers of two; only words that occur that
+    often are encoded and brought to the driver, and their bytes are known to fit. Words
+    that occur once are never shared.
     """
-    sized = table.withColumn("level", F.floor(F.log2("n")).cast("int")).withColumn("b", F.octet_length("word") + F.octet_length("ids") + F.lit(128))
-    levels = sized.groupBy("level").agg(F.sum("b").alias("b")).orderBy(F.desc("level")).collect()
+    level = F.floor(F.log2("n")).cast("int")
+    held = settle(table.where(F.col("n") > 1).withColumn("level", level))
+    levels = held.groupBy("level").agg(F.sum(F.octet_length("word") + F.lit(160)).alias("b")).orderBy(F.desc("level")).collect()
     total, least = 0, None
     for row in levels:
         total += row["b"]
@@ -288,17 +307,17 @@ def frequent(table: DataFrame, table_bytes: int) -> dict[str, bytes]:
         least = row["level"]
     if least is None:
         return {}
-    return {r["word"]: bytes(r["ids"]) for r in sized.where(F.col("level") >= least).select("word", "ids").toLocalIterator()}
+    return {r["word"]: bytes(r["ids"]) for r in encoded(held.where(F.col("level") >= least), path, units).collect()}
 
 
 def encode(docs: DataFrame, path: str, units: Callable[[str], list[str]] = spaced_units, table_bytes: int = 24 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and ``ids``, the whole text's token ids as an array."""
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent(word_table(docs, path, units, id_col, text_col), table_bytes))
+    table = spark.sparkContext.broadcast(frequent(word_table(docs, path, units, id_col, text_col), path, table_bytes, units))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, units, table=table.value, keep=KEEP_BESIDE)
-        for batch in text_slices(batches, most_bytes=1 << 21):
+        encoder = WordEncoder(path, units, table=table.value, keep=KEEP_BESIDE, memory=_remembered(path, units.__name__))
+        for batch in text_slices(batches):
             packed = encoder(batch.column("__text").to_pylist())
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
             values = np.frombuffer(b"".join(packed), dtype="<i4")
@@ -334,7 +353,10 @@ def decode(coded: DataFrame, path: str, ids_col: str = "ids", text: str = "decod
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
-                out = [b"".join(map(pieces.__getitem__, ids or ())).decode("utf-8", "replace") for ids in batch.column(place).to_pylist()]
+                column = batch.column(place)
+                ends = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).cumsum().tolist()
+                found = list(map(pieces.__getitem__, column.flatten().to_numpy(zero_copy_only=False).tolist()))
+                out = [b"".join(found[a:b]).decode("utf-8", "replace") for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, text])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in coded.schema.fields)
