@@ -53,7 +53,7 @@ _LETTERS_AND_MARKS = re.compile(r"( ?[^\W_]+)([!-/:-@\[-`{-~]*)").fullmatch
 #: Words that a task remembers; beyond it the older half stays, which holds the common ones.
 KEEP_WORDS = 400_000
 #: The same where a task also holds the shared table, or counts words.
-KEEP_BESIDE = 300_000
+KEEP_BESIDE = 200_000
 
 
 @lru_cache(maxsize=4)
