@@ -1,13 +1,16 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-Tokens are ordered by their document frequency over the whole corpus, rarest first. A
-block whose containment of a template (shared distinct tokens / template tokens) reaches
-the threshold must share one of the template's first ``n - ceil(t * n) + 1`` tokens in
-that order (prefix filter), must have at least ``ceil(t * n)`` template tokens (length
-filter), and the places of the first shared token must leave room for the rest
-(positional filter). What passes is verified exactly, so nothing is missed. Blocks are
-lines. The templates are a parameter; only their tokens are counted, so what is
-broadcast is bounded by them and not by the corpus.
+A block is a window of a text's words, as long as the template and ``slack`` words more,
+wherever lines break. Tokens are ordered by their document frequency over the whole
+corpus, rarest first. A window whose containment of a template (shared distinct tokens /
+template tokens) reaches the threshold must share one of the template's first
+``n - ceil(t * n) + 1`` tokens in that order (prefix filter). The words around a place of
+such a token must have at least ``ceil(t * n)`` template tokens (length filter), and
+enough of them must come after it in the order (positional filter). Every window around
+what passes is verified exactly, so nothing is missed. Of windows that overlap, the one
+with the most shared tokens is reported, then the shortest, then the first. The templates
+are a parameter; only their tokens are counted, so what is broadcast is bounded by them
+and not by the corpus.
 
 Defined cases: a null text is an empty one; documents without a hit get empty labels
 and score 0; repeated ids and rows each get their own result row; an empty table gives
@@ -17,9 +20,11 @@ an empty result; only the id and text columns are read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,7 +65,7 @@ class Matcher:
     """Templates in one token order, with an index of their prefixes."""
 
     ranks: dict[bytes, int]
-    templates: list[tuple[str, list[int], int]]  # label, ranks ascending, tokens needed
+    templates: list[tuple[str, list[int], int, int]]  # label, ranks ascending, tokens needed, words of a window
     index: dict[int, list[tuple[int, int]]]  # rank -> (template, place in it)
 
     @classmethod
@@ -73,30 +78,70 @@ class Matcher:
             need = max(1, math.ceil(threshold * len(ordered) - 1e-9))
             for place in range(len(ordered) - need + 1):
                 index.setdefault(ordered[place], []).append((len(ready), place))
-            ready.append((label, ordered, need))
+            length = len(words_of(text))
+            ready.append((label, ordered, need, length + slack(length)))
         return cls(ranks, ready, index)
 
     def prefix_tokens(self) -> set[bytes]:
         return {t for t, r in self.ranks.items() if r in self.index}
 
-    def block(self, words: list[bytes]) -> dict[str, float]:
-        """Labels whose template the block contains, with the best containment."""
+    def passages(self, words: list[bytes]) -> list[tuple[int, str, float]]:
+        """Places where a window that contains a template begins, its label and containment."""
         ranks = self.ranks
-        own = sorted({ranks[w] for w in words if w in ranks})
-        found: dict[str, float] = {}
-        tried: set[int] = set()
-        for at, rank in enumerate(own):
+        places = [i for i, w in enumerate(words) if w in ranks]
+        held = [ranks[words[i]] for i in places]
+        near: dict[int, list[tuple[int, int]]] = {}  # template -> stretches of places to verify
+        for at, rank in enumerate(held):
             for number, place in self.index.get(rank, ()):
-                label, ordered, need = self.templates[number]
-                if number in tried or len(own) < need:
+                _, ordered, need, width = self.templates[number]
+                begin, end = bisect_right(places, places[at] - width), bisect_left(places, places[at] + width)
+                if end - begin < need:
                     continue
-                tried.add(number)
-                if 1 + min(len(ordered) - place - 1, len(own) - at - 1) < need:
+                shared = set(held[begin:end]).intersection(ordered)
+                if len(shared) < need or 1 + min(len(ordered) - place - 1, sum(r > rank for r in shared)) < need:
                     continue
-                shared = len(set(own).intersection(ordered))
-                if shared >= need:
-                    found[label] = max(found.get(label, 0.0), shared / len(ordered))
-        return found
+                stretches = near.setdefault(number, [])
+                if stretches and begin <= stretches[-1][1]:
+                    stretches[-1] = (stretches[-1][0], max(end, stretches[-1][1]))
+                else:
+                    stretches.append((begin, end))
+        out = []
+        for number, stretches in near.items():
+            label, ordered, need, width = self.templates[number]
+            for begin, end in stretches:
+                out += [(p, label, n / len(ordered)) for p, n in _best_windows(places[begin:end], held[begin:end], set(ordered), need, width)]
+        return out
+
+
+def slack(length: int) -> int:
+    """Words that a window has more than its template of some words."""
+    return max(4, length // 4)
+
+
+def _best_windows(places: list[int], held: list[int], wanted: set[int], need: int, width: int) -> list[tuple[int, int]]:
+    """First word and shared tokens of windows that reach ``need``; none overlap."""
+    own = [(p, r) for p, r in zip(places, held, strict=True) if r in wanted]
+    count: Counter[int] = Counter()
+    hits, left = [], 0
+    for place, rank in own:
+        count[rank] += 1
+        while place - own[left][0] >= width or count[own[left][1]] > 1:
+            first = own[left][1]
+            count[first] -= 1
+            if not count[first]:
+                del count[first]
+            left += 1
+        if len(count) >= need:
+            hits.append((-len(count), place - own[left][0], own[left][0]))
+    begins: list[int] = []
+    chosen: dict[int, tuple[int, int]] = {}  # first word -> last word, shared tokens
+    for negative, span, begin in sorted(hits):
+        at = bisect_right(begins, begin)
+        if at and chosen[begins[at - 1]][0] >= begin or at < len(begins) and begins[at] <= begin + span:
+            continue
+        begins.insert(at, begin)
+        chosen[begin] = (begin + span, -negative)
+    return [(b, chosen[b][1]) for b in begins]
 
 
 def _place_finder(phrases: dict[str, str]):
@@ -140,10 +185,10 @@ def token_counts(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id", t
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, phrases=None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: words, places of phrases, and every line that holds a template.
+    """Per document: words, places of phrases, and every window that holds a template.
 
     Columns: the id, ``n_words``, ``places`` (array of word, label) and ``blocks``
-    (array of line, label, containment).
+    (array of line where the window begins, label, best containment there).
     """
     phrases = PHRASES if phrases is None else phrases
     matcher = Matcher.build(templates, threshold, token_counts(docs, templates, id_col, text_col))
@@ -160,9 +205,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=None, threshold: float =
                 counts.append(len(words))
                 places.append([{"word": w, "label": label} for w, label in sorted(find(words))])
                 blocks.append([])
-                if not rare.isdisjoint(words):
-                    for at, line in enumerate(text.split("\n")):
-                        blocks[-1] += [{"line": at, "label": k, "containment": v} for k, v in sorted(matcher.block(words_of(line)).items())]
+                found = [] if rare.isdisjoint(words) else matcher.passages(words)
+                if found:
+                    ends = list(accumulate(len(words_of(line)) for line in text.split("\n")))
+                    best: dict[tuple[int, str], float] = {}
+                    for word, label, share in found:
+                        key = bisect_right(ends, word), label
+                        best[key] = max(best.get(key, 0.0), share)
+                    blocks[-1] += [{"line": at, "label": k, "containment": v} for (at, k), v in sorted(best.items())]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(counts, pa.int64()), pa.array(places, place), pa.array(blocks, block)], names=["__id", "n_words", "places", "blocks"])
 
     rows = id_and_text(docs, id_col, text_col)

@@ -221,6 +221,50 @@ def test_license_scan_equals_all_pairs(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+WRAPPED = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a\ncopy of this software and associated documentation files (the\n\"Software\"), to deal in the Software without restriction",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General\n#\n# Public License as published by",
+}
+
+
+def test_license_notices_wrapped_over_lines(spark):
+    texts = [(label, "a line before\n" + text + "\nafter") for label, text in WRAPPED.items()]
+    found = {r.doc_id: [(b.line, b.label, b.containment) for b in r.blocks] for r in licenses.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()}
+    for label in WRAPPED:
+        assert [b[:2] for b in found[label]] == [(1, label)] and found[label][0][2] >= 0.9
+
+
+def test_license_words_scattered_over_a_very_long_line(spark):
+    rng = random.Random(12)
+    scattered = []
+    for _, template in licenses.TEMPLATES:
+        for word in template.split():
+            scattered += [word, *rng.choices(VOCABULARY[:400], k=40)]
+    notice = scattered[:9000] + WRAPPED["bsd"].split() + scattered[9000:]
+    frame = spark.createDataFrame([(0, " ".join(scattered)), (1, " ".join(notice))], SCHEMA)
+    assert {r.doc_id: [(b.line, b.label) for b in r.blocks] for r in licenses.scan(frame).collect()} == {0: [], 1: [(0, "bsd")]}
+
+
+def test_license_windows_equal_brute_force():
+    rng = random.Random(13)
+    templates = (("x", "a b c d e f g h i j k l"), ("y", "m n a b c"))
+    matcher = licenses.Matcher.build(templates, 0.8, {b"a": 9, b"b": 5})
+    for _ in range(300):
+        words = [w.encode() for w in rng.choices("abcdefghijklmn" + "z" * rng.randint(0, 6), k=rng.randint(0, 60))]
+        expected = set()
+        for label, text in templates:
+            tokens, length = set(licenses.words_of(text)), len(text.split())
+            width = length + licenses.slack(length)
+            best = max((len(tokens.intersection(words[i : i + width])) for i in range(len(words))), default=0)
+            if best >= 0.8 * len(tokens) - 1e-9:
+                expected.add((label, best / len(tokens)))
+        got: dict[str, float] = {}
+        for _, label, share in matcher.passages(words):
+            got[label] = max(got.get(label, 0.0), share)
+        assert set(got.items()) == expected
+
+
 def test_quality_classifier_learns_and_holds_out(spark, docs):
     rng = random.Random(8)
     rows = [(i, " ".join((f"{w}***" if i % 4 == 0 else w) for w in rng.choices(VOCABULARY, k=rng.randint(5, 200)))) for i in range(600)]
