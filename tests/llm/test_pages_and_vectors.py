@@ -34,6 +34,34 @@ def test_structure(page, expected):
     assert main_text(page) == expected
 
 
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ('<html class="cookie-consent"><body class="has-sidebar"><article><p>t</article>', "t"),
+        ('<body class="menu"><main>t</main></body>', "t"),
+        ('<div id="page-header-fixed"><div class="content with-sidebar"><article>t</article><div class="sidebar">s</div></div></div>', "t"),
+        ('<div class="with-sidebar"><article>t</article></div><article>u</article><div class="comments"><article>reader</article></div>', "t\n\nu"),
+        ('<div class="widget"><main>t</main></div>', "t"),
+        ('<div class="widget"><article>t</article></div>', "t"),
+        ('<article class="post no-comments">t</article>', "t"),
+        ('<article>t</article><article class="comment">reader</article>', "t"),
+        ('<article><div class="post-header"><h1>T</h1></div><div class="masthead">m</div><p>x</article>', "T\n\nm\n\nx"),
+        ('<div class="header">site</div><article>t</article>', "t"),
+        ('<main><div class="content with-sidebar"><p>t</p></div></main>', "t"),
+        ('<main class="social"><div class="ad">buy</div></main>', ""),
+        ('<aside class="menu"><article>other</article></aside><article>t</article>', "t"),
+    ],
+)
+def test_marks_on_wrappers_of_the_main_element(page, expected):
+    assert main_text(page) == expected
+
+
+def test_marks_on_wrappers_of_pages_without_a_main_element():
+    kept = lambda page: [t for kind, t in pages.blocks_of(page) if kind == "open"]
+    assert kept('<body class="has-sidebar"><div class="sidebar">s</div><div>t</div>') == ["t"]
+    assert kept('<body><div class="with-sidebar"><p>t</p><div class="sidebar">s</div></div>') == ["t"]
+
+
 def test_shared_substrings_equal_brute_force():
     import numpy as np
 
