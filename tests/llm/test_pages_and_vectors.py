@@ -91,6 +91,22 @@ def test_extraction_by_host(spark):
     assert pages.extract(frame.limit(0)).count() == 0
 
 
+def test_boilerplate_of_a_few_pages_of_a_large_host(spark, monkeypatch):
+    monkeypatch.setattr(pages, "GROUP", 8)
+    menu, once = "sports results tables fixtures teams players transfers archive", "only one page of this host holds these ten words"
+    rows = []
+    for i in range(400):
+        own = f"{i} is the page, " + " ".join(f"w{i}x{k}" for k in range(20))
+        rows.append((i, "http://big.example/", f"<body>{f'<div>{menu}</div>' if i % 100 == 7 else ''}<div>{own}</div>" + (f"<div>{once}</div>" if i == 50 else "")))
+    rows += [(1000 + i, "http://big.example/", rows[50][2]) for i in range(20)]  # copies prove nothing
+    rows += [(2000, "http://small.example/", f"<div>{menu}</div>")]
+    found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert len(found) == len(rows)
+    assert [i for i in range(400) if menu in found[i]] == [] and found[2000] == menu
+    assert all(found[i].startswith(f"{i} is the page, w{i}x0") for i in range(400))
+    assert once in found[50] and all(found[1000 + i] == found[50] for i in range(20))
+
+
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 40)
     monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
