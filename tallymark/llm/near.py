@@ -1,7 +1,8 @@
 """N-gram Jaccard join: a MinHash LSH forest with exact verification.
 
 A document is its set of word shingles (``SHINGLE`` consecutive words; a shorter text is
-one shingle). Equal sets are joined first and travel as one representative with a count.
+one shingle). Equal sets are joined first and travel as one representative with a count
+and a number of its own; ids play no part until the classes are named.
 A signature has ``TREES`` trees of ``DEPTH`` min-hashes. Representatives that agree on a
 prefix of a tree are neighbours in its sorted order and form a bucket, and every pair of
 a bucket is verified on the shingle sets. The join starts with the longest prefix; the
@@ -14,7 +15,8 @@ a task returns one row per document (its links and one edge), never its pairs. A
 counted in the first tree where it agrees, so the counts are exact without listing it.
 
 Defined cases: a null or wordless text is in a class of its own without links; rows that
-repeat an id or a text count as copies of each other; a null id counts as the smallest;
+repeat a text count as copies of each other, rows that only repeat an id (or have none)
+do not; a null id counts as the smallest;
 a similarity equal to the threshold is a link; an empty table gives an empty result; only
 id and text are read.
 """
@@ -199,18 +201,26 @@ def _verify(length: int, longer: int, threshold: float) -> Callable:
     return verify
 
 
+def _set_key(shingles: np.ndarray) -> tuple[int | None, int | None]:
+    if not len(shingles):
+        return None, None
+    return tuple(int(signed(mix(s).sum(keepdims=True))[0]) for s in (shingles, shingles ^ np.uint64(0x5BD1E995)))
+
+
 def _sets(rows: DataFrame) -> DataFrame:
-    """Per row: id, 128 bits of its shingle set (null without words), signature."""
+    """Per row: id, two hashes of the row, 128 bits of its shingle set (null without words), signature."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column("__text").to_pylist())
-            a = [int(signed(mix(s).sum(keepdims=True))[0]) if len(s) else None for s in sets]
-            b = [int(signed(mix(s ^ np.uint64(0x5BD1E995)).sum(keepdims=True))[0]) if len(s) else None for s in sets]
+            a, b = zip(*map(_set_key, sets), strict=True)
             sigs = [signature(s).tobytes() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sigs, pa.binary())], names=["id", "a", "b", "sig"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("__id"), batch.column("__r1"), batch.column("__r2"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sigs, pa.binary())],
+                names=["id", "r1", "r2", "a", "b", "sig"],
+            )
 
-    return rows.mapInArrow(read, "id bigint, a bigint, b bigint, sig binary")
+    return rows.mapInArrow(read, "id bigint, r1 bigint, r2 bigint, a bigint, b bigint, sig binary")
 
 
 def _tree_keys(reps: DataFrame, length: int) -> DataFrame:
@@ -227,23 +237,38 @@ def _tree_keys(reps: DataFrame, length: int) -> DataFrame:
 
 
 def _shingles(rows: DataFrame) -> DataFrame:
+    """Per row with words: id, key of its shingle set, shingles; repeats within a task once."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in text_slices(batches):
-            sets = shingle_sets(batch.column("__text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("weight"), batch.column("sig"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["rep", "weight", "sig", "shingles"])
+            out = []
+            for i, shingles in zip(batch.column("__id").to_pylist(), shingle_sets(batch.column("__text").to_pylist()), strict=True):
+                row = (i, *_set_key(shingles))
+                if len(shingles) and row not in seen:
+                    seen.add(row)
+                    out.append((*row, shingles.tobytes()))
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, [pa.int64()] * 3 + [pa.binary()], strict=True)], names=["id", "a", "b", "shingles"])
 
-    return rows.mapInArrow(read, "rep bigint, weight bigint, sig binary, shingles binary")
+    return rows.mapInArrow(read, "id bigint, a bigint, b bigint, shingles binary")
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``class_id`` (least id of its class) and ``n_links``.
+def _row_hashes(docs: DataFrame) -> list:
+    """Two hashes over all columns, without maps, which have no hash."""
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    nulls = [c.isNull() for c in columns]
+    return [F.xxhash64(*columns, *nulls).alias("__r1"), F.xxhash64(F.lit(1), *columns, *nulls).alias("__r2")]
 
-    A class is what links connect; ``n_links`` counts the other rows at the threshold or
-    above, copies included.
+
+def _classes(rows: DataFrame, threshold: float, target: float) -> tuple[DataFrame, DataFrame]:
+    """Per row: id, row hashes, set key. Per set: key, weight, class, links, and its first row.
+
+    ``rows`` has ``__id``, ``__text``, ``__r1`` and ``__r2``. ``own`` is the first row of a
+    set by id and row hashes, ``class`` the number of one set of the class.
     """
-    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("__id"), F.col(f"`{text_col}`").alias("__text"))
     sets = settle(_sets(rows))
-    reps = settle(sets.where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.min("id").alias("rep"), F.count("*").alias("weight"), F.first("sig").alias("sig")))
+    reps = settle(sets.where(F.col("a").isNotNull()).groupBy("a", "b").agg(F.min(F.struct("id", "r1", "r2")).alias("own"), F.count("*").alias("weight"), F.first("sig").alias("sig")).withColumn("rep", F.monotonically_increasing_id()))
     rounds, seen, longer = [], None, 0
     for length in range(DEPTH, SHORTEST - 1, -1):
         keyed = _tree_keys(reps, length)
@@ -256,9 +281,11 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET,
         buckets = settle(buckets.groupBy("n", "x", "s").agg(F.min(F.struct("tree", "key")).alias("b")).select("n", "x", "s", "b.tree", "b.key"))
         seen = buckets.select("n", "x", "s") if seen is None else seen.unionByName(buckets.select("n", "x", "s"))
         members = settle(keyed.drop("tree").join(buckets.select("key", "tree", "n"), "key"))
-        wanted = members.select("rep").distinct().join(reps, "rep").select("rep", "weight", "sig")
-        texts = rows.join(wanted, rows["__id"] == wanted["rep"]).select("rep", "weight", "sig", "__text")
-        held = settle(_shingles(texts.dropDuplicates(["rep"])))
+        wanted = members.select("rep").distinct().join(reps, "rep").select(F.col("own.id").alias("id"), "a", "b", "rep", "weight", "sig")
+        # By id first, without multiplying rows that share one; then by the set itself.
+        texts = rows.select("__id", "__text").join(wanted.select(F.col("id").alias("__id")).distinct(), "__id", "left_semi")
+        held = _shingles(texts).join(wanted, ["id", "a", "b"]).dropDuplicates(["id", "a", "b"])
+        held = settle(held.select("rep", "weight", "sig", "shingles"))
         # Blocks of a bucket: block i meets block j once, for i <= j.
         blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
         own = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("blocks")).cast("int")
@@ -281,22 +308,42 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET,
     edges = linked.where(F.col("id") != F.col("root")).select(F.col("id").alias("u"), F.col("root").alias("v")).distinct()
     classes = components(edges).select(F.col("node").alias("rep"), F.col("label").alias("class"))
     degrees = linked.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
-    named = settle(reps.select("a", "b", "rep", "weight").join(classes, "rep", "left").join(degrees, "rep", "left"))
+    named = reps.select("a", "b", "own", "rep", "weight").join(classes, "rep", "left").join(degrees, "rep", "left")
+    return sets.select("id", "r1", "r2", "a", "b"), settle(named.select("a", "b", "own", "weight", F.coalesce("class", "rep").alias("class"), "links"))
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, ``class_id`` (least id of its class) and ``n_links``.
+
+    A class is what links connect; ``n_links`` counts the other rows at the threshold or
+    above, copies included.
+    """
+    no_hash = F.lit(0).cast("long")
+    rows = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("__id"), F.col(f"`{text_col}`").alias("__text"), no_hash.alias("__r1"), no_hash.alias("__r2"))
+    sets, named = _classes(rows, threshold, target)
+    least = named.groupBy("class").agg(F.min("own.id").alias("least"))
+    named = settle(named.join(least, "class").select("a", "b", "weight", "links", "least"))
     out = sets.select("id", "a", "b").join(named, ["a", "b"], "left")
-    least = F.coalesce("class", "rep", "id")
     back = lambda c: F.when(c != NO_ID, c)
     return out.select(
         back(F.col("id")).alias(id_col),
-        back(least).alias("class_id"),
+        back(F.coalesce("least", "id")).alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))).cast("long").alias("n_links"),
     )
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document with the least id of each class, with all its columns."""
-    found = join(docs, threshold, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("__key")).distinct()
-    own = F.coalesce(F.col(f"c{docs.columns.index(id_col)}").cast("long"), F.lit(NO_ID)).alias("__own")
-    named = numbered(docs).select("*", own)
-    kept = named.join(gone, F.col("__own") == F.col("__key"), "left_anti").dropDuplicates(["__own"])
-    return kept.drop("__own").toDF(*docs.columns)
+    """The row with the least id of each class, with all its columns.
+
+    Of rows of a class that share the least id, the first by a hash of the whole row.
+    """
+    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
+    hashes = _row_hashes(docs)
+    _, named = _classes(docs.select(key.alias("__id"), F.col(f"`{text_col}`").alias("__text"), *hashes), threshold, TARGET)
+    first = named.groupBy("class").agg(F.min("own").alias("own"))
+    first = settle(first.select(F.col("own.id").alias("__id"), F.col("own.r1").alias("__r1"), F.col("own.r2").alias("__r2")))
+    text = F.col(f"c{docs.columns.index(text_col)}")
+    own = numbered(docs.select("*", key.alias("__id"), *hashes)).withColumnsRenamed({f"c{len(docs.columns) + i}": n for i, n in enumerate(("__id", "__r1", "__r2"))})
+    worded = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = own.where(worded).join(first, ["__id", "__r1", "__r2"], "left_semi").dropDuplicates(["__id", "__r1", "__r2"])
+    return kept.unionByName(own.where(~worded)).drop("__id", "__r1", "__r2").toDF(*docs.columns)

@@ -93,6 +93,19 @@ def test_keep_one_of_each_class(docs):
     assert kept == set(classes)
 
 
+def test_near_tells_rows_with_equal_ids_apart(spark):
+    say = lambda name: " ".join(f"{name}{k}" for k in range(120))
+    close = lambda name: say(name) + " end"
+    rows = [(None, say("a")), (None, say("b")), (None, close("b")), (None, None), (None, ""), (7, say("c")), (7, say("d")), (8, close("c")), (9, close("d")), (9, say("e"))]
+    rows += [(3, close("e")), (9, "  "), (9, None), (11, say("f")), (11, say("f"))]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert bag(tuple(r) for r in near.join(frame).collect()) == bag(brute.near(rows))
+    kept = [tuple(r) for r in near.keep_one(frame).collect()]
+    b = [r for r in kept if r in ((None, say("b")), (None, close("b")))]
+    assert len(b) == 1
+    assert bag(kept) == bag([*b, (None, say("a")), (None, None), (None, ""), (7, say("c")), (7, say("d")), (3, close("e")), (9, "  "), (9, None), (11, say("f"))])
+
+
 def test_substring_dedup(docs, empty):
     out = phrases.drop_repeats(docs)
     assert out.columns == [*docs.columns, "__n_words", "__n_removed"]
