@@ -49,6 +49,8 @@ BATCH_BYTES = 1 << 23
 SHARD_BYTES = 1 << 23
 GROUP_BYTES = 1 << 21
 NO_ID = -(1 << 63)
+#: Blocks of rows without an id stand before the block of the smallest id.
+NO_BLOCK = -(1 << 58)
 
 
 def _windows(texts: list[str | None], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,13 +83,24 @@ def _keys(shard: np.ndarray | int, codes: np.ndarray) -> np.ndarray:
     return codes | np.uint64(shard) << np.uint64(48) if isinstance(shard, int) else codes | shard.astype(np.uint64) << np.uint64(48)
 
 
+#: Two odd multipliers below the prime, whose products stay within a long.
+_PRIME, _SPREAD = (1 << 31) - 1, (1327217885, 741103597)
+
+
 def _group_of(block: np.ndarray, groups: int) -> np.ndarray:
-    """The group of a block of ids; the same rule as ``_group``."""
-    return np.mod(block, groups)
+    """The group of a block of ids, whatever the stride of the ids; the same rule as ``_group``."""
+    first = np.mod(block, _PRIME) * _SPREAD[0] % _PRIME
+    return (first ^ (first >> 16)) % _PRIME * _SPREAD[1] % _PRIME % groups
+
+
+def _group(block: Column, groups: int) -> Column:
+    first = F.pmod(block, F.lit(_PRIME)) * F.lit(_SPREAD[0]) % F.lit(_PRIME)
+    return (first.bitwiseXOR(F.shiftright(first, 16)) % F.lit(_PRIME) * F.lit(_SPREAD[1]) % F.lit(_PRIME) % F.lit(groups)).cast("int")
 
 
-def _group(key: Column, groups: int) -> Column:
-    return F.pmod(F.floor(key / F.lit(BLOCK)), F.lit(groups)).cast("int")
+def _block(key: Column, text: Column) -> Column:
+    """Neighbouring ids; rows without an id are dealt by their text, into blocks before all others."""
+    return F.when(key.isNull(), F.lit(NO_BLOCK) - F.pmod(F.xxhash64(text), F.lit(1 << 40))).otherwise(F.floor(key / F.lit(BLOCK)).cast("long"))
 
 
 def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -97,8 +110,8 @@ def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def window_codes(rows: DataFrame, shards: int, window: int) -> DataFrame:
     """Step 1: per batch and shard, the distinct codes of each block of ids."""
 
-    def emit(ids: list[np.ndarray], texts: list[str | None]) -> Iterator[pa.RecordBatch]:
-        block = np.concatenate(ids) // BLOCK
+    def emit(blocks_of: list[np.ndarray], texts: list[str | None]) -> Iterator[pa.RecordBatch]:
+        block = np.concatenate(blocks_of)
         order = np.argsort(block, kind="stable")
         names, begins = np.unique(block[order], return_index=True)
         found, place = [], []
@@ -111,7 +124,7 @@ def window_codes(rows: DataFrame, shards: int, window: int) -> DataFrame:
         deal = np.argsort(shard, kind="stable")
         shard, code, place = shard[deal], code[deal], place[deal]
         held, first = np.unique(shard, return_index=True)
-        last = np.append(first[1:], len(shard))
+        last = np.append(first[1:], len(shard))[: len(first)]
         out = []
         for a, b in zip(first, last, strict=True):
             blocks, counts = np.unique(place[a:b], return_counts=True)
@@ -120,18 +133,18 @@ def window_codes(rows: DataFrame, shards: int, window: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), *(pa.array(c, pa.binary()) for c in columns)], names=["shard", "blocks", "counts", "codes"])
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, size = [], [], 0
+        blocks, texts, size = [], [], 0
         for batch in text_slices(batches):
-            ids.append(_ids(batch.column("__id")))
+            blocks.append(_ids(batch.column("__b")))
             texts += batch.column("__text").to_pylist()
             size += batch.column("__text").nbytes
             if size > BATCH_BYTES:
-                yield from emit(ids, texts)
-                ids, texts, size = [], [], 0
+                yield from emit(blocks, texts)
+                blocks, texts, size = [], [], 0
         if texts:
-            yield from emit(ids, texts)
+            yield from emit(blocks, texts)
 
-    return rows.select("__id", "__text").mapInArrow(codes, "shard int, blocks binary, counts binary, codes binary")
+    return rows.select("__b", "__text").mapInArrow(codes, "shard int, blocks binary, counts binary, codes binary")
 
 
 def nominate(codes: DataFrame, groups: int) -> DataFrame:
@@ -183,21 +196,21 @@ def _show(shards: int, window: int):
             want["key"].append(_keys(shard, _unpack(codes)))
             want["target"].append(np.frombuffer(targets, np.int32))
         block, key, target = (np.concatenate(want[c]) for c in ("block", "key", "target"))
-        all_ids = _ids(docs.column("__id"))
+        all_ids, all_blocks = _ids(docs.column("__id")), _ids(docs.column("__b"))
         order = np.argsort(all_ids, kind="stable")
-        chosen = order[np.isin(all_ids[order] // BLOCK, block)]
-        ids = all_ids[chosen]
+        chosen = order[np.isin(all_blocks[order], block)]
+        ids, blocks = all_ids[chosen], all_blocks[chosen]
         texts = docs.column("__text").take(pa.array(chosen)).to_pylist()
         hashes, owner, place = _windows(texts, window)
         own = _keys(*_codes(hashes, shards))
         # The first document of a block for each of its windows: texts stand in order of id.
         at = np.flatnonzero(np.isin(own, key))
-        order = np.lexsort((at, hashes[at], ids[owner[at]] // BLOCK))
+        order = np.lexsort((at, hashes[at], blocks[owner[at]]))
         ordered = at[order]
         new = np.ones(len(at), dtype=bool)
-        new[1:] = (hashes[ordered][1:] != hashes[ordered][:-1]) | ((ids[owner[ordered]] // BLOCK)[1:] != (ids[owner[ordered]] // BLOCK)[:-1])
+        new[1:] = (hashes[ordered][1:] != hashes[ordered][:-1]) | (blocks[owner[ordered]][1:] != blocks[owner[ordered]][:-1])
         at = np.sort(ordered[new])
-        frame = pd.DataFrame({"key": own[at], "block": ids[owner[at]] // BLOCK, "text": owner[at], "place": place[at]})
+        frame = pd.DataFrame({"key": own[at], "block": blocks[owner[at]], "text": owner[at], "place": place[at]})
         hit = frame.merge(pd.DataFrame({"key": key, "block": block, "target": target}), on=["key", "block"]).sort_values(["target", "text", "place"])
         if not len(hit):
             return schema.empty_table()
@@ -314,11 +327,11 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
 
     total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")) + F.lit(64)).alias("b")).first()["b"]
     shards, groups = pieces_of(total, SHARD_BYTES), pieces_of(total, GROUP_BYTES)
-    key = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))
+    key, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
     text_at = docs.columns.index(text_col)
     # The text travels once, as __text; in its own place a null stands for it.
     carried = [F.lit(None).cast("string").alias(f"c{i}") if i == text_at else F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    rows = docs.select(key.alias("__id"), F.col(f"`{text_col}`").alias("__text"), *carried).withColumn("__g", _group(F.col("__id"), groups))
+    rows = docs.select(F.coalesce(key, F.lit(NO_ID)).alias("__id"), _block(key, text).alias("__b"), text.alias("__text"), *carried).withColumn("__g", _group(F.col("__b"), groups))
     asked = nominate(window_codes(rows, shards, window), groups)
     fields = [T.StructField(f"c{i}", T.StringType() if i == text_at else f.dataType) for i, f in enumerate(docs.schema.fields)]
     out = T.StructType([*fields, T.StructField("__w", T.LongType()), T.StructField("__r", T.LongType())])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import brute
 import public_tokenizers
+import pytest
 
 import corpus_pipeline
 from tallymark.llm import bpe, quality
@@ -12,16 +13,17 @@ from tallymark.llm.components import components
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_rows_equal_brute_force(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    model = quality.fit(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+@pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
+def test_rows_equal_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     good = {r.doc_id for r in quality.score(docs, model).collect() if r.score >= 0.5}
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.doc_id in good]
     rows = [(i, t) for i, _, _, t in brute.line_dedup(rows)]
     kept = {i for i, c, _ in brute.near(rows) if i == c}
     rows = [(i, t) for i, _, _, t in brute.substring_dedup([r for r in rows if r[0] in kept])]
     expected = brute.pieces(rows, bpe.tokenizer(public_tokenizers.path("word_bpe_49k.json")))
-    out = corpus_pipeline.run(spark, FOLDER)
+    out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert sorted(tuple(r)[:5] for r in out.collect()) == sorted(expected)
 

@@ -6,6 +6,7 @@ import random
 from collections import defaultdict
 
 import brute
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,30 @@ def test_substring_dedup_over_many_shards_and_groups(docs, monkeypatch):
     assert bag(tuple(r) for r in out.collect()) == bag(brute.substring_dedup(DOCS))
 
 
+def test_substring_dedup_of_short_texts_alone(spark):
+    """Partitions without a single window, one of them for each row."""
+    rows = [(1, "a b c"), (2, None), (3, ""), (4, "x " * 12)]
+    short = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for docs in (short, short.coalesce(1), short.where("text is null"), short.where("doc_id = 3")):
+        out = phrases.drop_repeats(docs, n_words="w", n_removed="r")
+        assert bag(tuple(r) for r in out.select("doc_id", "w", "r", "text").collect()) == bag(brute.substring_dedup([tuple(r) for r in docs.select("doc_id", "text").collect()]))
+
+
+def test_substring_dedup_of_ids_with_a_stride_or_none(spark, monkeypatch):
+    """Groups are dealt by a hash of the block: ids of any stride, and null ids, spread."""
+    monkeypatch.setattr(phrases, "GROUP_BYTES", 2000)
+    say = " ".join(VOCABULARY[:20])
+    rows = [(i * 6400, f"{VOCABULARY[i]} {say} {VOCABULARY[-i]}") for i in range(200)] + [(None, f"{say} end{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    out = phrases.drop_repeats(docs, n_words="w", n_removed="r")
+    assert bag(tuple(r) for r in out.select("doc_id", "w", "r", "text").collect()) == bag(brute.substring_dedup(rows))
+    block = phrases._block(F.col("doc_id"), F.col("text"))
+    dealt = docs.withColumn("g", phrases._group(block, 100)).groupBy("g", F.col("doc_id").isNull().alias("none")).count()
+    assert max(r["count"] for r in dealt.collect()) < 12
+    blocks = docs.select(block.alias("b"), phrases._group(block, 100).alias("g")).collect()
+    assert phrases._group_of(np.array([r.b for r in blocks]), 100).tolist() == [r.g for r in blocks]
+
+
 def test_chance_agreement_of_codes_removes_nothing(docs, monkeypatch):
     import numpy as np
 
