@@ -120,7 +120,7 @@ def word_ends(path: str) -> np.ndarray | None:
 
 
 @lru_cache(maxsize=1)
-def _remembered(path: str, units: str) -> dict[str, bytes]:
+def remembered(path: str, units: str) -> dict[str, bytes]:
     """Words and ids that a worker carries from one task to its next."""
     return {}
 
@@ -316,7 +316,7 @@ def encode(docs: DataFrame, path: str, units: Callable[[str], list[str]] = space
     table = spark.sparkContext.broadcast(frequent(word_table(docs, path, units, id_col, text_col), path, table_bytes, units))
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, units, table=table.value, keep=KEEP_BESIDE, memory=_remembered(path, units.__name__))
+        encoder = WordEncoder(path, units, table=table.value, keep=KEEP_BESIDE, memory=remembered(path, units.__name__))
         for batch in text_slices(batches):
             packed = encoder(batch.column("__text").to_pylist())
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
