@@ -173,3 +173,132 @@ s as (
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 """
+
+ORACLES["op13_filter_audit"] = r"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w, min(doc_id) over (partition by text) as least from d),
+l as (
+  select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+  from labels group by doc_id
+),
+f as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+          regexp_matches(text, '[#$%&*|]'), coalesce(w.doc_id > least, false)] as fails
+  from w left join l on l.doc_id = w.doc_id
+),
+masks as (
+  select part, fails, count(*) as n, count(*) filter (where good) as n_good, count(*) filter (where toxic) as n_toxic
+  from f group by part, fails
+),
+letter as (select unnest(range(1, 6)) as k),
+orders as (
+  select [a.k, b.k, c.k, d.k, e.k] as o from letter a, letter b, letter c, letter d, letter e
+  where len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5
+),
+each as (
+  select part, o, step, n, n_good, n_toxic,
+         fails[o[step]] as now,
+         len(list_filter(o[1 : step - 1], lambda k: fails[k])) > 0 as gone,
+         len(list_filter(fails, lambda x: x)) as n_fails
+  from masks, orders, (select unnest(range(1, 6)) as step)
+)
+select part, array_to_string(list_transform(o, lambda k: 'ABCDE'[k]), '') as filter_order, step::int as step,
+       coalesce(sum(n) filter (where not gone and not now), 0)::bigint as kept,
+       coalesce(sum(n) filter (where not gone and now), 0)::bigint as removed,
+       coalesce(sum(n) filter (where gone and now), 0)::bigint as redundant,
+       coalesce(sum(n) filter (where now and n_fails = 1), 0)::bigint as unique_fails,
+       coalesce(sum(n_good) filter (where not gone and now), 0)::bigint as good_lost,
+       coalesce(sum(n_toxic) filter (where not gone and now), 0)::bigint as toxic_lost,
+       coalesce(sum(n * (120 // greatest(n_fails, 1))) filter (where now), 0)::bigint as shapley
+from each group by part, o, step
+"""
+
+ORACLES["op11_conversation_repair"] = r"""
+with recursive crc_table(b, c) as (
+  select i, list_reduce([i, 0, 1, 2, 3, 4, 5, 6, 7], lambda r, k: case when r % 2 = 1 then xor(r // 2, 3988292384) else r // 2 end)::bigint
+  from (select unnest(range(256))::bigint as i)
+),
+tab as (select list(c order by b) as t from crc_table),
+given as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key
+  from conversations
+),
+hashed as (
+  select g.*, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(key, ''), lambda x: ascii(x)::bigint)),
+         lambda r, x: xor(r // 256, t[xor(r % 256, x) + 1])), 4294967295) % 20 as kind
+  from given g, tab
+),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+  from (select * from hashed union all select * from hashed where kind = 3) where kind <> 0
+),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as pos from damaged
+),
+nth as (select *, row_number() over (partition by conv_id, role, text order by pos) as nth from placed),
+rows_of as (
+  select conv_id, turn, role, text, pos,
+         case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+              when nth > 1 then 'duplicate'
+              when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault,
+         left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by pos) as before
+  from nth
+),
+-- States: 0 start, 1 after system, 2 after user, 3 after assistant. What one empty turn leads to.
+follow(state, role, next) as (values (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+ahead as (
+  select state, state as at, '' as letters, ''::varchar as lines, 0 as cost from follow
+  union all select state, next, 'I', role || ':' || chr(10), 2 from follow
+  union all select a.state, b.next, 'II', a.role || ':' || chr(10) || b.role || ':' || chr(10), 4
+  from follow a join follow b on b.state = a.next
+),
+walk(conv_id, pos, state, cost, audit, lines) as (
+  select conv_id, 0::bigint, 0, 0::bigint, ''::varchar, ''::varchar from (select distinct conv_id from rows_of)
+  union all
+  select conv_id, pos, state, best.cost, best.audit, best.lines
+  from (
+    select conv_id, pos, state, min({'cost': cost, 'audit': audit, 'lines': lines}) as best
+    from (
+      select r.conv_id, r.pos, e.state,
+             w.cost + a.cost + e.cost + case when r.fault = 'truncated' and e.letter <> 'D' then 1 else 0 end as cost,
+             w.audit || a.letters || e.letter as audit, w.lines || a.lines || e.line as lines
+      from walk w
+      join rows_of r on r.conv_id is not distinct from w.conv_id and r.pos = w.pos + 1
+      join ahead a on a.state = w.state
+      join follow f on f.state = a.at,
+      lateral (
+        select 'D' as letter, a.at as state, 3 as cost, '' as line
+        union all select 'K', 1, 0, r.role || ':' || r.text || chr(10)
+          where r.initial = 's' and a.at = 0 and r.fault not in ('blank', 'duplicate')
+        union all select 'K', f.next, 0, r.role || ':' || r.text || chr(10)
+          where r.initial = left(f.role, 1) and r.fault not in ('blank', 'duplicate')
+        union all select 'R', f.next, 2, f.role || ':' || r.text || chr(10)
+          where r.fault not in ('blank', 'duplicate')
+      ) e
+    ) group by conv_id, pos, state
+  )
+),
+ends as (
+  select w.conv_id, min({'cost': w.cost + a.cost, 'audit': w.audit || a.letters, 'lines': w.lines || a.lines}) as best
+  from walk w join ahead a on a.state = w.state
+  where a.at in (0, 3) and w.pos = (select max(pos) from rows_of r where r.conv_id is not distinct from w.conv_id)
+  group by w.conv_id
+),
+counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+         count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+         count(*) filter (where fault = 'truncated') as truncated,
+         count(*) filter (where pos > 1 and (before || initial) not in ('su', 'ua', 'au')) as illegal
+  from rows_of group by conv_id
+)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+       coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(best.cost, 0)::bigint as cost,
+       coalesce(best.audit, '') as audit, sha256(coalesce(left(best.lines, length(best.lines) - 1), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join counts on counts.conv_id is not distinct from c.conv_id
+left join ends on ends.conv_id is not distinct from c.conv_id
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallymark.llm import bpe, licenses, lines, near, packing, pages, phrases, quality, rules, topk
+from tallymark.llm import bpe, licenses, lines, near, packing, pages, phrases, quality, repair, rules, symbols, topk, tries
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -84,6 +84,35 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(cut).select(F.col("__id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Damage to the conversations by a checksum of each turn, and the cheapest repair."""
+    rows = table(spark, folder, "conversations")
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(named("conv_id"), F.lit(":"), named("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate(named("text"), ".!?", "")).otherwise(named("text"))
+    damaged = rows.withColumn("kind", kind).where("kind <> 0").select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(named("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+    found = repair.summarise(repair.repair(damaged.drop("copy")))
+    every = rows.select(F.col("conv_id").alias("__c")).distinct()
+    out = every.join(found, F.col("__c").eqNullSafe(F.col("conv_id")), "left").drop("conv_id").withColumnRenamed("__c", "conv_id")
+    nothing = dict.fromkeys(("gaps", "blank", "duplicate", "truncated", "illegal", "cost"), 0)
+    return out.fillna(nothing | {"audit": "", "repaired_sha256": repair.EMPTY}).select("conv_id", *nothing, "audit", "repaired_sha256")
+
+
+def op12_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = symbols.decode(symbols.encode(table(spark, folder, "documents"), path), path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    fails = tries.failures(table(spark, folder, "documents"))
+    return tries.audit(tries.masks(fails, table(spark, folder, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_top_k,
         op9_license_scan,
         op10_best_fit_packing,
+        op11_conversation_repair,
+        op12_sentencepiece_round_trip,
+        op13_filter_audit,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
