@@ -200,7 +200,7 @@ class WordEncoder:
 
     def _split(self, words: list[str]) -> list[tuple[str, str]]:
         """Each word as letters and the ASCII marks after them, which never merge, if it is that."""
-        found = [m.groups() if m else (w, "") for w, m in zip(words, map(_LETTERS_AND_MARKS, words), strict=True)]
+        found = [(w, "") if w.isalpha() else m.groups() if (m := _LETTERS_AND_MARKS(w)) else (w, "") for w in words]
         return list(map(self._folded, found, words)) if self.fold else found
 
     @staticmethod

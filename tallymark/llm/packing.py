@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.bpe import KEEP_BESIDE, WordEncoder, bare_units, remembered
+from tallymark.llm.bpe import WordEncoder, bare_units, remembered
 from tallymark.llm.store import id_and_text, pieces_of, settle
 from tallymark.llm.words import text_slices
 
 LENGTH = 4096
+#: Words that a worker remembers between its tasks; no other table lies beside them.
+KEEP_WORDS = 800_000
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -37,7 +39,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 1, id
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path, bare_units, fold=True, keep=KEEP_BESIDE, memory=remembered(path, "bare_units, folded"))
+        encoder = WordEncoder(path, bare_units, fold=True, keep=KEEP_WORDS, memory=remembered(path, "bare_units, folded"))
         for batch in text_slices(batches):
             rows, at = [], []
             for row, packed in enumerate(encoder(batch.column("__text").to_pylist())):
