@@ -105,7 +105,13 @@ def refresh(
     ended = append(0)
     if between:
         between()
-    return dict(zip(pairs, map(sum, zip(ended, append(1)))))
+    added = dict(zip(pairs, map(sum, zip(ended, append(1)))))
+    schemas = {spec.name: spec.stored_schema() for spec in REPORTS}
+    side_by_side(
+        store.spark,
+        [partial(store.compact_if_due, name, schemas[name], run_date) for name in pairs],
+    )
+    return added
 
 
 def refresh_sheets(
