@@ -744,3 +744,50 @@ union all select 'physical_export', count(*), 5 from mm
 union all select 'summary', count(*), 7 from zr""",
     *whole(*LEDGERS),
 )
+
+# Landed and stored forms of the same figures
+
+oracle(
+    "dated_extract_periods",
+    """
+select y as year, p as period, case l_returnflag when 'A' then '11' when 'R' then '18' else '30' end as "RSMASG",
+       count(*) n_lines, cast(sum(q) as double) rsqty,
+       case when p > 9 then cast(sum(disc) as double) end rsexam
+from lines where y = 2020 and p in (9, 10, 11) group by 1, 2, 3""",
+    LINES,
+)
+
+oracle(
+    "export_period_ends",
+    f"""
+with_flag as (select *, case when y * 100 + p < 202011 then 1 else 2 end f from mm)
+select {KEY}, name as "NAME",
+  {double(TotalGrossVol="f * volume", NSISimple="f * simple", CONANSISimple="f * cona", MMNSI="f * nsi",
+          COGSSimple="f * cogs")}
+from with_flag""".replace("with_flag as", ", with_flag as", 1),
+    *whole(*BASE, EXPORT),
+)
+
+oracle(
+    "work_area_rejects",
+    """
+with w as (
+  select l_orderkey, l_linenumber,
+         printf('%.2f', l_quantity) q, format('{:,.2f}', l_extendedprice) price, printf('%.2f', l_tax) tax
+  from lineitem)
+select l_orderkey, l_linenumber, 'QTY' as "FIELD", repeat('9', 31) as "TEXT", 'too large' as "REASON"
+from w where l_linenumber = 5
+union all select l_orderkey, l_linenumber, 'RATE', 'n/a', 'malformed' from w where l_linenumber = 7
+union all select l_orderkey, l_linenumber, 'PRICE', null, 'missing' from w where l_linenumber = 1
+union all select l_orderkey, l_linenumber, 'RATE', null, 'missing' from w where l_linenumber = 1
+union all select l_orderkey, l_linenumber, null, 'x;y', 'too many fields' from w where l_linenumber = 2""",
+)
+
+ORACLES["nearest_snapshot_stored"] = ORACLES["nearest_snapshot"]
+
+oracle(
+    "history_store_runs",
+    _HISTORY.replace("select s.*, case", "select s.* replace (cast(round(h, 2) as decimal(24,3)) as h), case")
+    .replace("when p between 7 and 9 then 3 when p = 11 then 2", "when p between 7 and 9 or p = 11 then 2"),
+    *LEDGERS, BATCH.replace("case when p between 7 and 9 then 2 else 1 end run", "1 run"),
+)

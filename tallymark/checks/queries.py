@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallymark.checks.standins import YEAR_SHIFT, Samples
 from tallymark.functions import fiscal, measures, text
-from tallymark.lineage import settle, settle_all
+from tallymark.lineage import settle, settle_all, shared_folder
 from tallymark.operators import conform
 from tallymark.operators.align import codes_in, codes_not_in, full_outer_align
 from tallymark.operators.control import (
@@ -20,7 +20,7 @@ from tallymark.operators.control import (
     nearest_snapshot_numbers,
     period_volumes,
 )
-from tallymark.operators.history import append_changed, merge_distinct
+from tallymark.operators.history import HistoryStore, append_changed, merge_distinct
 from tallymark.operators.keys import CODE, KEYS, PERIOD, PERIOD_KEYS, YEAR
 from tallymark.operators.merge import reaggregate
 from tallymark.operators.rows import row_window
@@ -44,9 +44,17 @@ from tallymark.plans.reports import (
     narrowed,
 )
 from tallymark.sources.accounts import COGS, NSI, VOLUME, default_account_map
-from tallymark.sources.exports import clean_export, upper_headers
-from tallymark.sources.landing import cube_slice, extract_table_name, fiscal_keys, in_periods
-from tallymark.sources.workarea import decode_work_area
+from tallymark.sources.dated import extract_folders
+from tallymark.sources.exports import clean_export, read_export_csv, upper_headers
+from tallymark.sources.landing import (
+    LandingZone,
+    cube_slice,
+    extract_table_name,
+    fiscal_keys,
+    in_periods,
+)
+from tallymark.sources.snapshots import SnapshotStore
+from tallymark.sources.workarea import decode_with_rejects, decode_work_area
 
 RUN_DATE = dt.date(2020, 11, 30)
 RUN_TS = "2020-11-30 09:15:00"
@@ -118,6 +126,43 @@ def extract_table_names(s: Samples) -> DataFrame:
     )
 
 
+@query("dated_extract_periods")
+def dated_extract_periods(s: Samples) -> DataFrame:
+    """Three periods from three landed folders; the oldest lacks a column that came later."""
+    root, periods = shared_folder(s.spark), [CURRENT, CURRENT.prior(), CURRENT.prior().prior()]
+    extract = s.extract().where(in_periods("year", "period", periods))
+    name_of = extract_folders(CURRENT)
+    for period in periods:
+        rows = extract.where(in_periods("year", "period", [period])).drop("year", "period")
+        rows = rows.drop("RSEXAM") if period == periods[-1] else rows
+        rows.write.parquet(f"{root}/{name_of(period)}")
+    read = LandingZone(s.spark, root).dated_extract(periods, CURRENT)
+    return read.groupBy("year", "period", "RSMASG").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("RSQTY").alias("rsqty"), F.sum("RSEXAM").alias("rsexam")
+    )
+
+
+@query("export_period_ends")
+def export_period_ends(s: Samples) -> DataFrame:
+    """CSV exports, two files a period: the closing one is read up to a period, then the running one."""
+    root, export = shared_folder(s.spark), s.gl_export()
+    figures = [c for c, kind in export.dtypes if kind.startswith("decimal")]
+    running = export.withColumns({c: (F.col(f"`{c}`") * 2).cast(export.schema[c].dataType) for c in figures})
+    files = {"YES": export, "NO": running}
+    for flag, rows in files.items():
+        rows.write.csv(f"{root}/{flag}", header=True)
+    both = [
+        read_export_csv(s.spark, f"{root}/{flag}", export.schema).withColumn("PERIOD_END", F.lit(flag))
+        for flag in files
+    ]
+    landed = shared_folder(s.spark)
+    both[0].unionByName(both[1]).write.partitionBy("PERIOD_END").parquet(f"{landed}/gl_export")
+    months = [fiscal.FiscalPeriod(y, p) for y in range(2010, 2031) for p in range(1, 13)]
+    zone = LandingZone(s.spark, landed)
+    chosen = zone.gl_export([m for m in months if m < CURRENT], [m for m in months if m >= CURRENT])
+    return conform.conform_gl_export(chosen)
+
+
 @query("scan_prune_keys")
 def scan_prune_keys(s: Samples) -> DataFrame:
     """The ledger cube restricted to two fiscal keys."""
@@ -148,6 +193,19 @@ def decode_work_area_rows(s: Samples) -> DataFrame:
     return decode_work_area(s.table("lineitem").select(work_area.alias("WA")), catalogue)
 
 
+@query("work_area_rejects")
+def work_area_rejects(s: Samples) -> DataFrame:
+    """Numbers of a work area that are none, and why; blank ones are no fault."""
+    number, price = F.col("l_linenumber"), money("l_extendedprice")
+    quantity = F.when(number == 5, F.repeat(F.lit("9"), 31)).otherwise(money("l_quantity").cast("string"))
+    rate = F.when(number == 7, "n/a").when(number == 6, " ").otherwise(money("l_tax").cast("string"))
+    whole = F.concat_ws(";", quantity, F.format_number(price, 2), rate)
+    line = F.when(number == 1, quantity).when(number == 2, F.concat(whole, F.lit(";x;y"))).otherwise(whole)
+    rows = s.table("lineitem").select("l_orderkey", "l_linenumber", line.alias("WA"))
+    catalogue = [("QTY", "P"), ("PRICE", "P"), ("RATE", "P")]
+    return decode_with_rejects(rows, catalogue, ["l_orderkey", "l_linenumber"]).rejects
+
+
 @query("cube_slice")
 def cube_slice_sums(s: Samples) -> DataFrame:
     posted = (
@@ -361,6 +419,14 @@ def nearest_snapshot_rows(s: Samples) -> DataFrame:
     return nearest_snapshot(*settle_all([s.snapshots(), _controls(s)]))
 
 
+@query("nearest_snapshot_stored")
+def nearest_snapshot_stored(s: Samples) -> DataFrame:
+    """The same from stored snapshots: chosen by their totals, read by partition."""
+    store = SnapshotStore(s.spark, shared_folder(s.spark))
+    store.add(s.snapshots())
+    return store.nearest(_controls(s))
+
+
 # Alignment
 
 
@@ -583,6 +649,23 @@ def history_append_same(s: Samples) -> DataFrame:
     return append_changed(once, batch, RUN_TS)
 
 
+@query("history_store_runs", gaps=True)
+def history_store_runs(s: Samples) -> DataFrame:
+    """Four runs on two dates through the stored history, and a rewriting of the first date."""
+    batch = settle(_batch(s))
+    stored = settle(_stored_before(batch).drop(MOST_RECENT, RUN_NUMBER, "DATETIME"))
+    store, name = HistoryStore(s.spark, shared_folder(s.spark)), specs.PHYSICAL.name
+    runs = [
+        (stored.where(F.col(DATE) < RUN_DATE), RUN_DATE - dt.timedelta(days=1)),
+        (stored.where(F.col(DATE) == RUN_DATE), RUN_DATE), (batch, RUN_DATE), (batch, RUN_DATE),
+    ]
+    for number, (rows, date) in enumerate(runs):
+        store.append(name, rows, f"run{number}", date, dt.datetime.fromisoformat(RUN_TS))
+    schema = prepare_batch(batch).schema
+    store.compact(name, schema, RUN_DATE)
+    return store.read(name, schema)
+
+
 @query("distinct_merge")
 def distinct_merge(s: Samples) -> DataFrame:
     """Stored sheet, its dates as spreadsheet serials, merged with a batch in epoch days."""

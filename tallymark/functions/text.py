@@ -23,14 +23,32 @@ def number_or_null(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
     return as_column(col).try_cast(dtype)
 
 
-def signed_number(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
-    """Exported number text to number: strip clutter, move a trailing minus, bad -> 0."""
+def _sign_first(col: ColumnLike) -> Column:
+    """Exported number text without clutter, a trailing minus moved to the front."""
     # The two patterns.
     digits = F.regexp_replace(as_column(col), r"[^\d.\-]", "")
     # Few numbers carry a trailing minus; the others are spared the second pattern.
     moved = F.regexp_replace(digits, r"([0-9.]+)-$", "-$1")
-    leading_sign = F.when(digits.endswith("-"), moved).otherwise(digits)
-    return F.coalesce(number_or_null(leading_sign, dtype), F.lit(0).cast(dtype))
+    return F.when(digits.endswith("-"), moved).otherwise(digits)
+
+
+def signed_number(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
+    """Exported number text to number: strip clutter, move a trailing minus, bad -> 0."""
+    return F.coalesce(number_or_null(_sign_first(col), dtype), F.lit(0).cast(dtype))
+
+
+MALFORMED, TOO_LARGE, MISSING = "malformed", "too large", "missing"
+
+
+def number_fault(col: ColumnLike, dtype: T.DataType = PARSED) -> Column:
+    """Why a text is no number though :func:`signed_number` makes it 0; null if it is one.
+
+    Null is a field the line does not have. A blank text is an empty number, not a fault.
+    """
+    text, cleaned = as_column(col), _sign_first(col)
+    fault = F.when(cleaned.rlike(r"^-?\d+\.?\d*$"), TOO_LARGE).otherwise(MALFORMED)
+    parsed = (F.trim(text) == "") | number_or_null(cleaned, dtype).isNotNull()
+    return F.when(text.isNull(), MISSING).when(~parsed, fault)
 
 
 def right_trimmed(col: ColumnLike) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import threading
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
@@ -30,6 +31,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(named)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below the checkpoint folder, for tables that are written to be read again."""
+    with _naming:
+        ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tables-{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a frame once and keep its rows in the shared checkpoint folder.
 

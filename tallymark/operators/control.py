@@ -46,12 +46,17 @@ def control_totals(conformed_extract: DataFrame, volumes: DataFrame) -> DataFram
 
 
 def nearest_snapshot_numbers(snapshots: DataFrame, controls: DataFrame) -> DataFrame:
-    """Per period, the snapshot whose volume is nearest to the control total.
+    """Per period, the snapshot whose volume is nearest to the control total."""
+    totals = snapshots.groupBy(*PERIOD_KEYS, "Number").agg(total("Volume").alias("SNAPSHOTVOLUME"))
+    return nearest_totals(totals, controls)
+
+
+def nearest_totals(totals: DataFrame, controls: DataFrame) -> DataFrame:
+    """The same from one row per snapshot with its total volume.
 
     Of snapshots equally near the lowest number wins. The choice is an aggregate
     over one row per snapshot, so no period's snapshots gather in one task.
     """
-    totals = snapshots.groupBy(*PERIOD_KEYS, "Number").agg(total("Volume").alias("SNAPSHOTVOLUME"))
     distance = F.abs(F.col("SNAPSHOTVOLUME") - F.col("CONTROLTOTAL")).cast(MEASURE)
     return (
         totals.join(controls.select(*PERIOD_KEYS, "CONTROLTOTAL"), PERIOD_KEYS)

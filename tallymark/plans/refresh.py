@@ -10,10 +10,11 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.functions.fiscal import FiscalPeriod, period_of
-from tallymark.lineage import settle_all, side_by_side
+from tallymark.lineage import settle, settle_all, side_by_side
 from tallymark.operators import conform
 from tallymark.operators.control import control_totals, nearest_snapshot, period_volumes
 from tallymark.operators.history import HistoryStore, merge_distinct
+from tallymark.operators.keys import PERIOD_KEYS
 from tallymark.plans.audit import history_counts
 from tallymark.plans.reports import Ledgers, build_reports
 from tallymark.plans.specs import REPORTS
@@ -135,6 +136,22 @@ def refresh_sheets(
     info.write.mode("errorifexists").parquet(f"{target}/info")
 
 
+def refresh_periods(stored: str, batch: DataFrame) -> None:
+    """Merge a batch into a stored sheet that is partitioned by year and period, in place.
+
+    Only partitions the batch touches are read, merged and replaced; the others keep
+    their files. The merged rows are settled first, so a write that is cut off can be repeated.
+    """
+    spark = batch.sparkSession
+    touched = batch.select(*PERIOD_KEYS).distinct()
+    sheet = spark.read.parquet(stored)
+    periods = [FiscalPeriod(*r) for r in touched.collect()]
+    merged = settle(merge_distinct(sheet.where(in_periods(*PERIOD_KEYS, periods)), batch.select(*sheet.columns)))
+    dealt = merged.repartition(*PERIOD_KEYS)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*PERIOD_KEYS).parquet(stored)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="reconcile the ledgers of one run date")
     parser.add_argument("--landing", required=True, help="folder of the landed extracts")

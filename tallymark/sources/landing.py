@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from tallymark.functions.fiscal import FiscalPeriod
 from tallymark.functions.text import period_key_text
 from tallymark.sources import schemas
+from tallymark.sources.dated import DatedTables, extract_folders, summary_folders
 from tallymark.sources.exports import of_period_ends
 from tallymark.sources.schemas import meet_schema
 
 Periods = Iterable[FiscalPeriod] | None
+#: Columns that only some figures need and that older dated extracts may lack.
+LATER_EXTRACT_COLUMNS = ("RSMATL", "RSDAT", "RSSPCQTY", "RSEXAM")
 
 
 class LandingZone:
@@ -45,6 +48,16 @@ class LandingZone:
         rows = self.table("extract")
         return meet_schema(rows.where(in_periods("year", "period", periods)), schemas.EXTRACT)
 
+    def dated_extract(self, periods: Iterable[FiscalPeriod], current: FiscalPeriod) -> DataFrame:
+        """The extract where it landed as the origin's own tables, one folder per period."""
+        tables = DatedTables(self.spark, self.root, extract_folders(current))
+        return tables.read(periods, schemas.EXTRACT, ("year", "period"), LATER_EXTRACT_COLUMNS)
+
+    def yearly_summary(self, periods: Iterable[FiscalPeriod], current_year: int) -> DataFrame:
+        """The summary where it landed as one folder per year."""
+        tables = DatedTables(self.spark, self.root, summary_folders(current_year))
+        return tables.read(periods, schemas.SUMMARY, ("fiscal_year", "PERIOD"))
+
     def plant(self) -> DataFrame:
         return self._read("plant", schemas.PLANT)
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from frames import APRIL, MAY, plain_rows
 from tallymark.checks import oracles
+from tallymark.functions.fiscal import FiscalPeriod
+from tallymark.operators import rows
 from tallymark.operators.rows import row_window
-from tallymark.sources import exports, schemas
+from tallymark.sources import dated, exports, schemas
 from tallymark.sources.accounts import COGS, NSI, VOLUME, account_elements, default_account_map
 from tallymark.sources.landing import (
     LandingZone,
@@ -18,7 +20,7 @@ from tallymark.sources.landing import (
     in_periods,
     read_jdbc,
 )
-from tallymark.sources.workarea import decode_work_area
+from tallymark.sources.workarea import decode_with_rejects, decode_work_area
 
 
 def plan_of(df) -> str:
@@ -196,3 +198,56 @@ def test_landing_zone_reads_calendar(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/calendar")
     calendar = LandingZone(spark, str(tmp_path)).calendar()
     assert plain_rows(calendar) == [(4, dt.date(2018, 4, 30))]
+
+
+def test_row_window_counts_ranges_where_it_ends_late(spark, monkeypatch):
+    """Only the ranges at the window's edges are sorted; nested columns, nulls and ties."""
+    monkeypatch.setattr(rows, "TOP_ROWS", 10)
+    values = [(k % 7 if k % 11 else None, [k % 3], "x" * (k % 5), {"m": 1}) for k in range(900)] + [(3, [1], "same", None)] * 300
+    schema = "k int, a array<int>, s string, m map<string,int>"
+    df = spark.createDataFrame(values, schema).repartition(5)
+    plain = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    expected = sorted(map(plain, values), key=lambda r: (*r[:2], r[2], r[3]))
+    for nrows, skip in [(400, 250), (-1, 1150), (1200, 0), (5, 1196), (-1, 5000), (50, 390)]:
+        page = [plain((r.k, r.a, r.s)) for r in row_window(df, ["k"], nrows, skip).collect()]
+        assert page == expected[skip:][: nrows if nrows >= 0 else None]
+
+
+def test_row_window_that_ends_early_sorts_nothing_whole(spark):
+    df = spark.range(100000).repartition(4)
+    plan = row_window(df, ["id"], 500, 200)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan
+
+
+def test_dated_folders(spark, tmp_path):
+    now = FiscalPeriod(2020, 1)
+    name_of = dated.extract_folders(now)
+    assert [name_of(p) for p in (now, now.prior(), FiscalPeriod(2018, 4))] == ["KOEXTT", "KOEXT1912", "KOEXT1804"]
+    fields = [f for f in schemas.EXTRACT.fields if f.name not in ("year", "period", "RSEXAM")]
+    columns = [F.lit("1").cast(f.dataType).alias(f.name) for f in fields]
+    for name in ("KOEXTT", "KOEXT1912"):
+        spark.range(2).select(*columns).write.parquet(f"{tmp_path}/{name}")
+    zone = LandingZone(spark, str(tmp_path))
+    found = zone.dated_extract([now, now.prior()], now)
+    assert found.schema == schemas.EXTRACT or found.columns == [f.name for f in schemas.EXTRACT.fields]
+    assert sorted(map(tuple, found.groupBy("year", "period", "RSEXAM").count().collect())) == [(2019, 12, None, 2), (2020, 1, None, 2)]
+    with pytest.raises(LookupError, match=r"2018-04 \(KOEXT1804\), 2018-03 \(KOEXT1803\)"):
+        zone.dated_extract([now, FiscalPeriod(2018, 4), FiscalPeriod(2018, 3)], now)
+    spark.range(1).select(*[c for c in columns if "RSQTY" not in str(c)]).write.parquet(f"{tmp_path}/KOEXT1911")
+    with pytest.raises(ValueError, match="RSQTY"):
+        zone.dated_extract([FiscalPeriod(2019, 11)], now)
+    year = [F.lit("1").cast(f.dataType).alias(f.name) for f in schemas.SUMMARY.fields if f.name not in ("fiscal_year", "PERIOD")]
+    for name in ("ZRTLRS", "ZRTLRS2019"):
+        spark.range(1, 4).select(*year, F.col("id").cast("int").alias("PERIOD")).write.parquet(f"{tmp_path}/{name}")
+    rows = zone.yearly_summary([FiscalPeriod(2020, 2), FiscalPeriod(2019, 3), FiscalPeriod(2019, 1)], 2020)
+    assert sorted((r.fiscal_year, r.PERIOD) for r in rows.collect()) == [(2019, 1), (2019, 3), (2020, 2)]
+
+
+def test_rejects_name_row_field_and_reason(spark):
+    lines = [(1, "12.50-;ok "), (2, "1,234;x"), (3, " ;x"), (4, "abc;x"), (5, "9" * 31 + ";x"), (6, "7"), (7, "1;x;more"), (8, "1-2-;x"), (9, None)]
+    area = decode_with_rejects(spark.createDataFrame(lines, "row int, WA string"), [("N ", "P"), ("T", "C")], ["row"])
+    assert {r.row: float(r.N) for r in area.rows.collect()} == {1: -12.5, 2: 1234, 3: 0, 4: 0, 5: 0, 6: 7, 7: 1, 8: 0, 9: 0}
+    found = sorted((r.row, r.FIELD, r.TEXT, r.REASON) for r in area.rejects.collect())
+    assert found == [(4, "N", "abc", "malformed"), (5, "N", "9" * 31, "too large"), (7, None, "more", "too many fields"), (8, "N", "1-2-", "malformed"), (9, "N", None, "missing")]
+    plain = decode_work_area(spark.createDataFrame(lines, "row int, WA string"), [("N ", "P"), ("T", "C")])
+    assert sorted(map(str, plain.collect())) == sorted(map(str, area.rows.collect()))
