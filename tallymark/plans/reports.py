@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.measures import fill_zero_numeric
 from tallymark.lineage import settle_all
-from tallymark.operators.align import full_outer_align
+from tallymark.operators.align import align_all
 from tallymark.operators.index import system_index
 from tallymark.operators.keys import CODE, KEYS, NAME, PERIOD, YEAR
 from tallymark.plans.specs import REPORTS, ReportSpec, Side
@@ -132,11 +132,15 @@ def build_unindexed_report(
     Figures are not filled before the variances, and the name is the first ledger's.
     """
     first, *others = spec.sides
-    aligned = _figures(ledgers, first, NAME).withColumnRenamed(NAME, "COSTCENTER")
-    aligned = first.apply(aligned, fill=False)
-    for side in others:
-        aligned = full_outer_align(aligned, _figures(ledgers, side), KEYS)
+    named = _figures(ledgers, first, NAME).withColumnRenamed(NAME, "COSTCENTER")
+    aligned = align_all([named, *[_figures(ledgers, side) for side in others]], KEYS)
+    there = F.lit(False)
+    for number, side in enumerate(spec.sides):
+        # A step holds for rows of the sides so far; rows of later ones do not know it.
+        there |= F.col(f"IN_{number}")
+        made = [v.name for v in side.variances] + list(side.zeroed)
         aligned = side.apply(aligned, fill=False)
+        aligned = aligned.withColumns({c: F.when(there, F.col(c)) for c in made}) if made else aligned
     if any(side.required for side in spec.sides):
         aligned = aligned.where(F.col("COSTCENTER").isNotNull())
     if spec.fill_rest:

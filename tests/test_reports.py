@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from frames import LEDGER_COLUMNS, RUN_DATE, ledgers, plain_rows
+from tallymark.checks.standins import Samples
 from tallymark.functions.measures import fill_zero_numeric
-from tallymark.operators.align import codes_in, codes_not_in, full_outer_align
+from tallymark.lineage import settle
+from tallymark.operators.align import align_all, codes_in, codes_not_in, full_outer_align
 from tallymark.operators.index import system_index
 from tallymark.operators.keys import CODE, KEYS, NAME
 from tallymark.operators.merge import reaggregate
@@ -188,3 +191,28 @@ def test_index_needs_only_its_three_ledgers(spark):
 def test_audit_counts(spark):
     counts = audit_counts({"a": spark.range(3), "b": spark.range(0)})
     assert plain_rows(counts) == [("a", 3, 1), ("b", 0, 1)]
+
+
+def test_one_exchange_aligns_as_outer_joins_do(spark):
+    """Repeated keys on several sides, keys that sides lack, null keys and null figures."""
+    rng = random.Random(3)
+
+    def side(name):
+        rows = [(2018, rng.choice([1, 2, None]), rng.choice(["001", "002", "003", "004"]), rng.choice([None, 1, 2, 3])) for _ in range(14)]
+        return settle(spark.createDataFrame(rows, f"YEAR int, PERIOD int, CODE string, {name} int"))
+
+    sides = [side(n) for n in ("a", "b", "c", "d")]
+    chain = sides[0]
+    for other in sides[1:]:
+        chain = full_outer_align(chain, other, KEYS)
+    found = align_all(sides, KEYS)
+    columns = [*KEYS, "a", "b", "c", "d"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(map(str, chain.select(columns).collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_earlier_reports_take_one_exchange(spark):
+    given = Samples(spark, "/root/testdata/sf0.001").ledgers(*[side.ledger for side in COGS.sides]).settled()
+    plan = build_unindexed_report(given, COGS, dt.date(2020, 11, 30), "YES")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
