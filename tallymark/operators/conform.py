@@ -108,39 +108,59 @@ def _plants(plant: DataFrame) -> DataFrame:
     return plant.selectExpr("WHS RSWHR", f"trim(PLNT) {CODE}")
 
 
-def invoice_lines(
-    extract: DataFrame, plant: DataFrame, article: DataFrame, adjustment_type: DataFrame
-) -> DataFrame:
-    """Invoice lines of both class ranges with their plant, article and adjustment type.
+#: A sum of invoice lines: exact, and times a factor still within a decimal's digits.
+LINE_SUM = "decimal(24,4)"
+LINE_KEYS = ["RSWHR", "RSART", "RSATP"]
+
 
-    The two ranges do not overlap, so one scan with an OR takes the place of two
-    scans whose sums are added afterwards.
+def invoice_sums(extract: DataFrame) -> DataFrame:
+    """Invoice lines of both class ranges, summed by period, warehouse, article and type.
+
+    Everything a dimension decides is constant within such a group, so sums can be taken
+    before the dimensions are joined: a join beyond the broadcast size then moves sums and not
+    lines. The two ranges do not overlap, so one scan with an OR takes the
+    place of two scans whose sums are added afterwards.
     """
-    adjustments = adjustment_type.where(one_of("ADJCLS", ADJUSTMENT_CLASSES))
     in_ranges = " or ".join(f"RSCLS between '{a}' and '{b}'" for a, b in INVOICE_CLASS_RANGES)
-    lines = (
+    sums = {
+        "QTY": total("RSQTY"),
+        "SALES": total("RSSALTOT"),
+        "DISCOUNT": total_where(one_of("RSAVV#", DISCOUNT_VALUE_FIELDS), "RSAVVTOT"),
+        "EXAMINED": total("RSEXAM"),
+        "COST": total("RSCOGTOT"),
+    }
+    return (
         extract.where(in_ranges)
         .withColumnsRenamed({"year": YEAR, "period": PERIOD})
-        .join(adjustments.selectExpr("ADJTYP RSATP"), "RSATP")
-        .join(_plants(plant), "RSWHR")
-        .join(_current_articles(article), "RSART")
+        .groupBy(*PERIOD_KEYS, *LINE_KEYS)
+        .agg(*[amount.cast(LINE_SUM).alias(name) for name, amount in sums.items()])
     )
-    return _with_code(lines)
 
 
 def conform_extract(
     extract: DataFrame, plant: DataFrame, article: DataFrame, adjustment_type: DataFrame
 ) -> DataFrame:
-    """Invoice extract: two volumes, net sales by two discount sources, COGS."""
-    lines = invoice_lines(extract, plant, article, adjustment_type)
-    sales = total("RSSALTOT")
-    discount = total_where(one_of("RSAVV#", DISCOUNT_VALUE_FIELDS), "RSAVVTOT")
-    return lines.groupBy(*KEYS).agg(
-        total("RSQTY").alias("VOLUMEPHYSICAL"),
-        total_of_product("RSQTY", "AM01_ARTCNVFAC2").alias("VOLUMEGLUNIT"),
-        (sales - discount).cast(MEASURE).alias("NSIAVV"),
-        (sales - total("RSEXAM")).cast(MEASURE).alias("NSIRSEXAM"),
-        total("RSCOGTOT").alias("COGS"),
+    """Invoice extract: two volumes, net sales by two discount sources, COGS.
+
+    A product with an article's factor is the factor times the article's sum.
+    """
+    adjustments = adjustment_type.where(one_of("ADJCLS", ADJUSTMENT_CLASSES))
+    sums = _with_code(
+        invoice_sums(extract)
+        .join(adjustments.selectExpr("ADJTYP RSATP"), "RSATP")
+        .join(_plants(plant), "RSWHR")
+        .join(_current_articles(article), "RSART")
+    )
+
+    def added(amount: str) -> Column:
+        return F.expr(f"cast(sum({amount}) as {MEASURE.simpleString()})")
+
+    return sums.groupBy(*KEYS).agg(
+        added("QTY").alias("VOLUMEPHYSICAL"),
+        added("QTY * AM01_ARTCNVFAC2").alias("VOLUMEGLUNIT"),
+        (added("SALES") - added("DISCOUNT")).cast(MEASURE).alias("NSIAVV"),
+        (added("SALES") - added("EXAMINED")).cast(MEASURE).alias("NSIRSEXAM"),
+        added("COST").alias("COGS"),
     )
 
 

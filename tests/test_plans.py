@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from frames import RUN_DATE
 from tallymark.checks.standins import Samples
-from tallymark.operators.conform import conform_extract
+from tallymark.operators.conform import conform_extract, conform_extract_by_group
 from tallymark.plans.reports import build_report, index_of, ledgers_of, narrowed
 from tallymark.plans.specs import NSI, PHYSICAL, REPORTS
 
@@ -108,11 +108,29 @@ def test_a_hot_article_is_split(spark, setting):
         adaptive__skewJoin__skewedPartitionFactor="2",
         adaptive__advisoryPartitionSizeInBytes="64KB",
     )
+    expected = [(f"{c:03d}", 12000.0, 24000.0) for c in range(10)]
+    # The earlier form of the extract joins lines.
+    grouped = hot_extract(spark).withColumn("RSMASG", F.lit("11"))
+    for conformed, skewed in (
+        (conform_extract_by_group(grouped, *hot_dimensions(spark)[:2]), True),
+        (conform_extract(hot_extract(spark), *hot_dimensions(spark)), False),
+    ):
+        volumes = conformed.select("CODE", "VOLUMEPHYSICAL", "VOLUMEGLUNIT")
+        rows = sorted((r[0], float(r[1]), float(r[2])) for r in volumes.collect())
+        assert rows == expected
+        # Where sums are joined, the hot article's lines have become few rows: nothing to split.
+        assert ("skew=true" in executed(volumes)) is skewed
+
+
+def test_the_first_shuffle_of_the_extract_carries_sums(spark, setting):
+    setting(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
     conformed = conform_extract(hot_extract(spark), *hot_dimensions(spark))
-    volumes = conformed.select("CODE", "VOLUMEPHYSICAL", "VOLUMEGLUNIT")
-    rows = sorted((r[0], float(r[1]), float(r[2])) for r in volumes.collect())
-    assert rows == [(f"{c:03d}", 12000.0, 24000.0) for c in range(10)]
-    assert "skew=true" in executed(volumes)
+    conformed.collect()
+    plan = executed(conformed)
+    # Read upwards from the scan: the lines are added up before any exchange or join.
+    above_scan = plan[: plan.rindex("Range (0, 120000")]
+    steps = re.findall(r"partial_sum\(|Exchange hashpartitioning|SortMergeJoin", above_scan)
+    assert steps[-1] == "partial_sum("
 
 
 def test_sums_shrink_before_the_shuffle(spark):
