@@ -1,158 +1,296 @@
 """Exact top-k search by inner product with pivot-table elimination.
 
-Every vector's distances to the pivots are computed once (the pivot table). For a query
-and a candidate the pivots give lower bounds of their distance, |d(q,p) - d(x,p)|; the
-largest of them, with both lengths, bounds the inner product from above. Candidates are
-evaluated in the order of that bound until the k-th best score exceeds the next bound,
-so the result is exact. Queries and candidates meet in blocks: each pair of blocks is one
-row of a join, its k best per query are merged afterwards, and nothing is collected.
+Pivots are the vectors of a bounded sample. Every vector has a table of its distances to
+them, made where its block is read. For a query and a candidate each pivot gives a lower bound of
+their distance, |d(q,p) - d(x,p)|, and the largest, with both lengths, bounds the inner product
+from above. Candidates are evaluated in the order of that bound until the k-th best
+score exceeds the next bound, so the result is exact. Of the pivots those next to the query and those next to
+the candidate are looked at: they give the largest bounds, and any of them gives a valid one.
+
+Candidates are dealt by their nearest pivot, in an order in which near pivots are
+neighbours, into blocks of bounded size; a pivot with too many is split. A task takes a
+block of queries through several blocks of candidates, the likeliest first, and the limit
+that one block gives a query holds for the next. A candidate block is copied once for each
+``QUERY_BLOCK`` queries.
+
+Vectors with components beyond ``WIDE`` have blocks of their own and are scored with Python's
+integers, every pair of them.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and rows
 without an id take no part; shorter vectors count as filled up with zeros; rows that
 repeat an id count once, with the smallest vector; ties go to the smaller id; with fewer
-candidates than k all are returned; an empty table gives an empty result; other columns
+candidates than k all are returned; a score beyond the range of a long is ranked by its
+value and shown as the nearest long; an empty table gives an empty result; other columns
 are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.store import pieces_of, settle
 
-PIVOTS = 8
-PIVOT_SAMPLE = 512
-QUERY_BLOCK = 1024
-BLOCK = 8192
+PIVOTS = 2048
+#: Pivots looked at for a pair: the nearest of the query, and of the candidate.
+NEAR_QUERY, NEAR_CANDIDATE = 16, 4
+QUERY_BLOCK = 4096
+BLOCK = 4096
+WIDE_BLOCK = 256
+#: Blocks of candidates that a task takes a block of queries through.
+BLOCKS_A_TASK = 8
 #: Candidates evaluated before the first look at the bound; doubled after each look.
 STEP = 256
+#: Scaled components from here on are no numbers for numpy's products.
+WIDE = float(1 << 26)
+LONGEST, LEAST = (1 << 63) - 1, -(1 << 63)
 
 
-def quantised(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``__id`` and ``__v``: floor(scale * x) of every component, of the usable vectors."""
-    vector = F.col("__x")
-    # Doubles beyond these bounds have no exact long; NaN and infinities fail it too.
-    usable = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < 1e15, F.lit(False)))
+def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """``__id`` and ``__x``, the components as doubles, of the vectors that take part."""
+    finite = F.forall("__x", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(math.inf)), F.lit(False)))
     return (
-        vectors.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{vector_col}`").alias("__x"))
-        .where(F.col("__id").isNotNull() & vector.isNotNull() & usable)
-        .select("__id", F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("__v"))
+        vectors.select(F.col(f"`{id_col}`").cast("long").alias("__id"), F.col(f"`{vector_col}`").cast("array<double>").alias("__x"))
+        .where(F.col("__id").isNotNull() & F.col("__x").isNotNull() & finite)
         .groupBy("__id")
-        .agg(F.min("__v").alias("__v"))
+        .agg(F.min("__x").alias("__x"))
     )
 
 
-def choose_pivots(table: DataFrame, count: int = PIVOTS, sample: int = PIVOT_SAMPLE) -> np.ndarray:
-    """Vectors far from each other, from a bounded sample by the hash of the id."""
-    rows = [r["__v"] for r in table.orderBy(F.xxhash64("__id"), "__id").limit(sample).collect()]
+def _matrix(lists: pa.Array, width: int = 0) -> np.ndarray:
+    """Lists as rows, filled up with zeros."""
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = np.zeros((len(sizes), max([1, width, *sizes])))
+    out[np.arange(out.shape[1]) < sizes[:, None]] = lists.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def _scaled(points: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) of every component: exact doubles, or Python integers where they must be."""
+    with np.errstate(over="ignore"):
+        out = points * scale
+    if np.abs(out).max(initial=0) < WIDE:
+        return np.floor(out)
+    return np.array([[math.floor(x * scale) if math.isfinite(x * scale) else int(x) * scale for x in row] for row in points.tolist()], dtype=object)
+
+
+def choose_pivots(table: DataFrame, scale: int, count: int = PIVOTS) -> np.ndarray:
+    """Distinct vectors of a bounded sample by the hash of the id, near ones next to each other."""
+    small = table.where(F.forall("__x", lambda x: F.abs(x) * F.lit(float(scale)) < F.lit(WIDE)))
+    rows = [r["__x"] for r in small.orderBy(F.xxhash64("__id"), "__id").limit(count).collect()]
     if not rows:
-        return np.zeros((0, 1))
-    width = max(map(len, rows))
-    points = np.array([r + [0] * (width - len(r)) for r in rows], dtype=np.float64)
-    chosen = [int(np.argmax((points**2).sum(1)))]
-    near = ((points - points[chosen[0]]) ** 2).sum(1)
-    while len(chosen) < min(count, len(points)):
-        chosen.append(int(np.argmax(near)))
-        near = np.minimum(near, ((points - points[chosen[-1]]) ** 2).sum(1))
-    return points[chosen]
+        return np.zeros((1, 1))
+    points = np.unique(_scaled(_matrix(pa.array(rows, pa.list_(pa.float64()))), scale), axis=0)
+    centred = points - points.mean(0)
+    axis = np.linalg.svd(centred, full_matrices=False)[2][0]
+    return points[np.argsort(centred @ axis, kind="stable")]
+
+
+def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    width = max(points.shape[1], pivots.shape[1])
+    a, b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (points, pivots))
+    return np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1) - 2 * a @ b.T, 0))
+
 
+def with_home(table: DataFrame, pivots: np.ndarray, scale: int) -> DataFrame:
+    """The vectors with ``__home``, the number of the nearest pivot; -1 for wide ones."""
 
-def _pack(pivots: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """One row per block: ids, vectors and pivot distances as bytes."""
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 1024):
+                batch = whole.slice(begin, 1024)
+                points = _matrix(batch.column("__x"))
+                with np.errstate(over="ignore"):
+                    wide = (np.abs(points) * scale >= WIDE).any(1)
+                nearest = _distances(np.floor(np.where(wide[:, None], 0, points) * scale), pivots).argmin(1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.where(wide, -1, nearest), pa.int32())], names=["__id", "__x", "__home"])
+
+    return table.mapInArrow(home, "__id bigint, __x array<double>, __home int")
+
+
+def in_blocks(rows: DataFrame, block: int) -> tuple[DataFrame, int]:
+    """One row per block (``block``, ``width``, ``ids``, ``points``), and how many blocks there are.
+
+    Neighbouring homes share a block; the counts of the homes, no more than pivots, decide.
+    """
+    counts = {r["__home"]: r["count"] for r in rows.groupBy("__home").count().collect()}
+    plan, passed = [], 0
+    for home in sorted(h for h in counts if h >= 0):
+        plan.append((home, passed // block, pieces_of(counts[home], block)))
+        passed += counts[home]
+    blocks = max((first + splits for _, first, splits in plan), default=0)
+    if -1 in counts:
+        plan.append((-1, blocks, pieces_of(counts[-1], WIDE_BLOCK)))
+        blocks += plan[-1][2]
+    known = rows.sparkSession.createDataFrame(plan, "__home int, first int, splits int")
+    dealt = rows.join(known, "__home").withColumn("__block", (F.col("first") + F.pmod(F.xxhash64("__id"), F.col("splits"))).cast("int"))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("__id")
-        width = max([1, pivots.shape[1], *map(len, frame["__v"])])
-        points = np.zeros((len(frame), width), dtype=np.int64)
-        for row, vector in enumerate(frame["__v"]):
-            points[row, : len(vector)] = vector
-        base = np.zeros((len(pivots), width))
-        base[:, : pivots.shape[1]] = pivots
-        exact = points.astype(np.float64)
-        distances = np.sqrt(((exact[:, None, :] - base[None, :, :]) ** 2).sum(2)) if len(base) else np.zeros((len(frame), 0))
-        return pd.DataFrame({
-            "block": [int(frame["__block"].iloc[0])], "width": [width],
-            "ids": [frame["__id"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()], "distances": [distances.tobytes()],
-        })
-
-    return pack
-
-
-def best_in_block(q: np.ndarray, q_ids: np.ndarray, q_far: np.ndarray, x: np.ndarray, x_ids: np.ndarray, x_far: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-    """(query, candidate, score) of each query's k best in a block, never itself."""
-    # The narrowest numbers that hold every partial sum of a product exactly.
-    largest = max(np.abs(q).sum(1).max(), 1) * max(np.abs(x).max(), 1)
-    exact = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64
-    points, queries = x.astype(exact), q.astype(exact)
-    x_norm, q_norm = (x.astype(np.float64) ** 2).sum(1), (q.astype(np.float64) ** 2).sum(1)
-    columns = np.ascontiguousarray(x_far.T)
-    for row in range(len(q)):
-        gap = np.zeros(len(x))
-        for column, distance in zip(columns, q_far[row], strict=True):
-            np.maximum(gap, np.abs(column - distance), out=gap)
-        bound = (q_norm[row] + x_norm - gap**2) / 2
-        bound += 1e-6 * (q_norm[row] + x_norm) + 1e-6  # rounding, to 32 bits too, never lowers a bound
-        bound[x_ids == q_ids[row]] = -np.inf
-        short = bound.astype(np.float32)
-        order = np.argsort(-short)
-        order = order[: np.count_nonzero(np.isfinite(bound))]
-        ids, found, begin, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, STEP
-        while begin < len(order) and not (len(found) == k and found[-1] > short[order[begin]]):
+        points = _matrix(pa.array(frame["__x"].tolist(), pa.list_(pa.float64())))
+        return pd.DataFrame({"block": [int(frame["__block"].iloc[0])], "width": [points.shape[1]], "ids": [frame["__id"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()]})
+
+    packed = dealt.select("__block", "__id", "__x").groupBy("__block").applyInPandas(pack, "block int, width int, ids binary, points binary")
+    return packed, max(blocks, 1)
+
+
+@dataclass
+class Block:
+    """Ids, scaled vectors, and the table of distances to the pivots, pivot by pivot."""
+
+    ids: np.ndarray
+    points: np.ndarray
+    table: np.ndarray
+    near: np.ndarray
+    norms: np.ndarray
+
+    @classmethod
+    def read(cls, ids: bytes, points: bytes, width: int, pivots: np.ndarray, scale: int, near: int) -> Block:
+        names = np.frombuffer(ids, np.int64)
+        scaled = _scaled(np.frombuffer(points, np.float64).reshape(len(names), width), scale)
+        if scaled.dtype == object:
+            none = np.zeros((len(pivots), len(names)), np.float32)
+            return cls(names, scaled, none, none[:0].T.astype(np.int64), np.zeros(len(names)))
+        far = _distances(scaled, pivots)
+        count = min(near, len(pivots))
+        nearest = np.argpartition(far, count - 1, axis=1)[:, :count]
+        return cls(names, scaled, np.ascontiguousarray(far.T, dtype=np.float32), nearest, (scaled**2).sum(1))
+
+
+class Best:
+    """The k best so far of each query of a block; ``evaluated`` counts the candidates scored."""
+
+    def __init__(self, queries: Block, k: int, longest_pivot: float):
+        self.queries, self.k, self.slack, self.evaluated = queries, k, longest_pivot, 0
+        self.ids = [np.zeros(0, np.int64)] * len(queries.ids)
+        self.scores = [np.zeros(0, np.int64)] * len(queries.ids)
+
+    def take(self, block: Block) -> None:
+        """Every query through one block of candidates."""
+        width = max(self.queries.points.shape[1], block.points.shape[1])
+        q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (self.queries.points, block.points))
+        exact: type = object
+        if q.dtype != object and x.dtype != object:
+            # The narrowest numbers that hold every partial sum of a product exactly.
+            largest = max(np.abs(q).sum(1).max(), 1) * max(np.abs(x).max(), 1)
+            exact = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64 if largest < 2**62 else object
+        wide = exact is object
+        q, x = ((m.astype(np.int64) if wide and m.dtype != object else m).astype(exact) for m in (q, x))
+        own = np.arange(len(block.ids))
+        for row in range(len(q)):
+            bound = None if wide and (self.queries.points.dtype == object or block.points.dtype == object) else self._bounds(row, block, own)
+            self._take(row, block, q[row], x, bound)
+
+    def _bounds(self, row: int, block: Block, own: np.ndarray) -> np.ndarray:
+        """The most that each candidate's score can be."""
+        far, gap = self.queries.table[:, row], np.zeros(len(block.ids), np.float32)
+        for pivot in self.queries.near[row]:
+            np.maximum(gap, np.abs(block.table[pivot] - far[pivot]), out=gap)
+        for pivot in block.near.T:
+            np.maximum(gap, np.abs(far[pivot] - block.table[pivot, own]), out=gap)
+        norms = self.queries.norms[row] + block.norms
+        # Rounding, to 32 bits too, never lowers a bound.
+        return (norms - gap.astype(np.float64) ** 2) / 2 + 1e-6 * (norms + self.slack) + 1e-6
+
+    def _take(self, row: int, block: Block, query: np.ndarray, x: np.ndarray, bound: np.ndarray | None) -> None:
+        ids, found = self.ids[row], self.scores[row]
+        other = block.ids != self.queries.ids[row]
+        if bound is None:
+            order, short = np.flatnonzero(other), None
+        else:
+            left = np.flatnonzero(other & (bound >= float(found[-1]))) if len(found) == self.k else np.flatnonzero(other)
+            short = bound[left]
+            ranked = np.argsort(-short)
+            order, short = left[ranked], short[ranked]
+        begin, step = 0, STEP
+        while begin < len(order) and not (short is not None and len(found) == self.k and float(found[-1]) > short[begin]):
             part = order[begin : begin + step]
-            scored = (points[part] @ queries[row]).astype(np.int64)
-            if len(found) == k:  # what the k-th best excludes is left out before sorting
-                part, scored = part[scored >= found[-1]], scored[scored >= found[-1]]
-            ids, found = np.concatenate((ids, x_ids[part])), np.concatenate((found, scored))
-            best = np.lexsort((ids, -found))[:k]
+            scored = x[part] @ query
+            scored = scored if scored.dtype == object else scored.astype(np.int64)
+            self.evaluated += len(part)
+            ids, found = np.concatenate((ids, block.ids[part])), np.concatenate((found, scored))
+            best = _first(found, ids, self.k)
             ids, found = ids[best], found[best]
             begin, step = begin + step, 2 * step
-        for i, s in zip(ids.tolist(), found.tolist(), strict=True):
-            yield int(q_ids[row]), i, s
+        self.ids[row], self.scores[row] = ids, found
+
+    def rows(self) -> Iterator[tuple[int, int, int, str]]:
+        for query, ids, scores in zip(self.queries.ids.tolist(), self.ids, self.scores, strict=True):
+            for i, s in zip(ids.tolist(), scores.tolist(), strict=True):
+                yield query, i, min(max(s, LEAST), LONGEST), in_order(s)
+
+
+def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best, ties to the smaller id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
+    if len(scores) > 4 * k:  # what is below the k-th best is left out before sorting
+        keep = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+        return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
+    return np.lexsort((ids, -scores))[:k]
+
+
+def in_order(number: int) -> str:
+    """A text for an integer of any size, so that texts are in the order of the integers."""
+    digits = str(abs(number))
+    if number >= 0:
+        return f"1{len(digits):05d}{digits}"
+    return f"0{99999 - len(digits):05d}" + "".join(str(9 - int(d)) for d in digits)
 
 
 def top_k(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank`` from 1, the candidate's id, ``score``.
 
-    ``is_query`` tells query rows by their id; the candidates are all rows.
+    ``is_query`` tells query rows by their id; the candidates are all rows. The score is the inner
+    product of the vectors, each component scaled and rounded down to an integer.
     """
-    table = settle(quantised(vectors, scale, id_col, vector_col))
-    pivots = choose_pivots(table)
-    queries = table.where(is_query(F.col("__id")))
-    blocks = pieces_of(table.count(), BLOCK)
-    query_blocks = pieces_of(queries.count(), QUERY_BLOCK)
-    packed = "block int, width int, ids binary, points binary, distances binary"
-
-    def in_blocks(rows: DataFrame, count: int) -> DataFrame:
-        dealt = rows.withColumn("__block", F.pmod(F.xxhash64("__id"), F.lit(count)).cast("int"))
-        return dealt.groupBy("__block").applyInPandas(_pack(pivots), packed)
-
-    left = in_blocks(queries, query_blocks).select(*(F.col(c).alias(f"q_{c}") for c in ("block", "width", "ids", "points", "distances")))
-    right = in_blocks(table, blocks).withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    # A hot key cannot arise: each pair of blocks is one row.
-    pairs = right.join(left, F.col("with") == F.col("q_block")).repartition(blocks * query_blocks, "block", "q_block")
+    table = settle(usable(vectors, id_col, vector_col))
+    pivots = choose_pivots(table, scale)
+    longest_pivot = float((pivots**2).sum(1).max())
+    table = settle(with_home(table, pivots, scale))
+    left, query_blocks = in_blocks(table.where(is_query(F.col("__id"))), QUERY_BLOCK)
+    right, blocks = in_blocks(table, BLOCK)
+    left = left.select(*(F.col(c).alias(f"q_{c}") for c in ("block", "width", "ids", "points")))
+    slices = pieces_of(blocks, BLOCKS_A_TASK)
+    right = right.withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    right = right.withColumn("slice", F.pmod(F.col("block"), F.lit(slices)))
+    # Blocks lie in the order of the pivots: those next to the queries' place come first.
+    apart = F.abs(F.col("block") / F.lit(blocks) - F.col("q_block") / F.lit(query_blocks))
+    # A hot key cannot arise: each pair of blocks is one row, and blocks are bounded.
+    pairs = (
+        right.join(left, F.col("with") == F.col("q_block"))
+        .withColumn("apart", apart)
+        .repartition(query_blocks * slices, "q_block", "slice")
+        .sortWithinPartitions("q_block", "slice", "apart", "block")
+    )
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, best = None, None
+
+        def done() -> pd.DataFrame:
+            return pd.DataFrame(list(best.rows()), columns=["query_id", "id", "score", "place"]).astype({c: "int64" for c in ("query_id", "id", "score")})
+
         for frame in frames:
             for row in frame.itertuples(index=False):
-                def read(ids: bytes, points: bytes, far: bytes, width: int, to: int):
-                    names = np.frombuffer(ids, np.int64)
-                    wide = np.zeros((len(names), to), np.int64)
-                    wide[:, :width] = np.frombuffer(points, np.int64).reshape(len(names), width)
-                    return wide, names, np.frombuffer(far, np.float64).reshape(len(names), -1)
-
-                width = max(row.width, row.q_width)
-                q = read(row.q_ids, row.q_points, row.q_distances, row.q_width, width)
-                x = read(row.ids, row.points, row.distances, row.width, width)
-                found = list(best_in_block(*q, *x, k))
-                yield pd.DataFrame(found, columns=["query_id", "id", "score"]).astype("int64")
-
-    found = pairs.mapInPandas(search, "query_id bigint, id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
+                if at != (row.q_block, row.slice):
+                    if best is not None:
+                        yield done()
+                    at = row.q_block, row.slice
+                    best = Best(Block.read(row.q_ids, row.q_points, row.q_width, pivots, scale, NEAR_QUERY), k, longest_pivot)
+                best.take(Block.read(row.ids, row.points, row.width, pivots, scale, NEAR_CANDIDATE))
+        if best is not None:
+            yield done()
+
+    found = pairs.mapInPandas(search, "query_id bigint, id bigint, score bigint, place string")
+    order = Window.partitionBy("query_id").orderBy(F.desc("place"), F.asc("id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -125,3 +125,37 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     few = frame.where("vec_id in (0, 1, 2)")
     assert [tuple(r)[:3] for r in topk.top_k(few, lambda key: key % 20 == 0).orderBy("rank").collect()] and topk.top_k(few, lambda key: key % 20 == 0).count() == 2
     assert topk.top_k(frame.limit(0), lambda key: key % 20 == 0).count() == 0
+
+
+def test_top_k_of_components_of_any_size(spark, monkeypatch):
+    """Finite components are scored exactly, however large; a score no long holds is shown as the nearest one."""
+    monkeypatch.setattr(topk, "WIDE_BLOCK", 3)
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    rng = random.Random(2)
+    sizes = [1.0, 1.0, 1e3, 2e15, 1e16, 1.7e308, 3e7, 2.0**26]
+    vectors = [(i, [rng.choice([-1, 1]) * rng.random() * rng.choice(sizes[: 1 + i % 8]) for _ in range(3)]) for i in range(60)]
+    vectors += [(60, [2e15, 1.0, 0.0]), (61, [2e15, 1.0, 0.0]), (62, [1e16, -0.25, 0.5]), (80, [-1e16, 0.5, 0.5])]
+    import math
+    from fractions import Fraction
+
+    whole = [(i, [math.floor(64 * Fraction(x)) for x in v]) for i, v in vectors]
+    expected = [(q, r, i, min(max(s, -(1 << 63)), (1 << 63) - 1)) for q, r, i, s in brute.top_k(whole, lambda i: i % 20 == 0, 20)]
+    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(frame, lambda key: key % 20 == 0).collect())) == sorted(expected)
+    numbers = sorted([0, 5, -5, 12, -12, 10**30, -(10**30), 99, 100])
+    assert sorted(numbers, key=topk.in_order) == numbers
+
+
+def test_bounds_are_never_below_the_score():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    points = np.floor(64 * rng.normal(size=(500, 16)) * rng.choice([0.01, 1, 30], size=(500, 1)))
+    pivots = points[rng.choice(500, 60, replace=False)]
+    pack = lambda m: (np.arange(len(m)).tobytes(), (m / 64).tobytes(), 16, pivots, 64)
+    best = topk.Best(topk.Block.read(*pack(points[:40]), topk.NEAR_QUERY), 5, float((pivots**2).sum(1).max()))
+    block = topk.Block.read(*pack(points), topk.NEAR_CANDIDATE)
+    for row in range(40):
+        assert (best._bounds(row, block, np.arange(500)) >= points @ points[row]).all()
+    best.take(block)
+    assert best.evaluated < 40 * 499
