@@ -40,12 +40,11 @@ from tallymark.llm.words import gram_hashes, mix, signed, text_slices, word_hash
 LONGEST = 8
 GROUP = 96
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|select|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<[!?][^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
-    re.DOTALL | re.IGNORECASE,
-)
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+_TEXT, _TAG = re.compile("[^<]+"), re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_COMMENT_END = re.compile("--!?>")
+_GAP, _NAME, _EQUALS, _BARE = (re.compile(p) for p in (r"[\s/]*", r"=?[^\s/>=]*", r"\s*=\s*", r"[^\s>]*"))
+#: Elements whose content is no markup and no text of the page.
+RAW = {t: re.compile(f"</{t}(?=[\\s/>])", re.IGNORECASE) for t in "script style noscript template iframe svg textarea select title".split()}
 
 #: Elements that begin a block of text.
 BLOCKS = frozenset(
@@ -73,19 +72,102 @@ HEADS = frozenset(("header", "masthead"))
 NOT, PART, WHOLE, SURE = range(4)
 
 
-def _dropped(tag: str, rest: str, inside: bool) -> int:
+#: Ids that name the readers' part of a page. Other ids inside the main element are names
+#: of its sections, and say nothing.
+COMMENT_IDS = frozenset(("comments", "comment-section", "disqus_thread", "respond"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+
+Attributes = list[tuple[str, str]]
+
+
+def _attributes(page: str, at: int) -> tuple[Attributes, int, bool] | None:
+    """Attributes of the tag whose name ends at ``at``, where the tag ends, and whether by a slash.
+
+    They are read one by one and a quoted value as a whole, so what a value holds is
+    neither a name nor the end of the tag. Nothing if the page ends before the tag does.
+    """
+    found: Attributes = []
+    while True:
+        gap = _GAP.match(page, at)
+        at = gap.end()
+        if at >= len(page):
+            return None
+        if page[at] == ">":
+            return found, at + 1, gap.group().endswith("/")
+        name = _NAME.match(page, at)
+        at, value = name.end(), ""
+        equals = _EQUALS.match(page, at)
+        if equals:
+            at = equals.end()
+            quote = page[at : at + 1]
+            if quote in ("'", '"'):
+                end = page.find(quote, at + 1)
+                if end < 0:
+                    return None
+                value, at = page[at + 1 : end], end + 1
+            else:
+                bare = _BARE.match(page, at)
+                value, at = bare.group(), bare.end()
+        found.append((name.group().lower(), value))
+
+
+Token = tuple[str, str, Attributes, bool]
+
+
+def _tokens(page: str) -> Iterator[Token]:
+    """Texts and tags in order: ``text``, ``open`` or ``close``, and what goes with it.
+
+    Every character is passed once. A tag that the page's end cuts off would be read to the end
+    again from every later one, so from the first such on a tag ends at the next bracket.
+    """
+    at, cut_off, last = 0, False, page.rfind(">")
+    while at < len(page):
+        text = _TEXT.match(page, at)
+        if text:
+            yield "text", text.group(), [], False
+            at = text.end()
+            continue
+        if page.startswith("<!--", at):
+            end = _COMMENT_END.search(page, at + 4)
+            at = end.end() if end else len(page)
+            continue
+        if page.startswith(("<!", "<?"), at) and at < last:
+            at = page.find(">", at) + 1
+            continue
+        tag = _TAG.match(page, at + 1)
+        if tag and tag.end() <= last:
+            read = None if cut_off else _attributes(page, tag.end())
+            if read is None:
+                cut_off = True
+                end = page.find(">", tag.end())
+                read = [], end + 1, page[end - 1] == "/"
+            attributes, at, by_slash = read
+            name = tag[2].lower()
+            yield "close" if tag[1] else "open", name, attributes, by_slash
+            if name in RAW and not tag[1]:
+                close = RAW[name].search(page, at)
+                at = page.find(">", close.end()) + 1 if close and close.end() <= last else len(page)
+            continue
+        yield "text", "<", [], False
+        at += 1
+
+
+def _dropped(tag: str, attributes: Attributes, inside: bool) -> int:
     if tag in DROPPED or tag == "header" and not inside:
         return SURE
     kind = NOT
-    for name, value in _ATTRIBUTE.findall(rest) if rest else ():
-        name, value = name.lower(), value.strip("\"'").lower()
+    for name, value in attributes:
+        value = value.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return SURE
-        if name in ("class", "id", "role"):
+        if name == "id" and inside:
+            if value.strip() in COMMENT_IDS and tag not in HEADINGS:
+                kind = WHOLE
+        elif name in ("class", "id", "role"):
             marks = MARKS - HEADS if inside else MARKS
             if not marks.isdisjoint(value.split()):
                 kind = WHOLE
-            elif not marks.isdisjoint(re.split(r"[^a-z0-9]+", value)):
+            elif not inside and not marks.isdisjoint(re.split(r"[^a-z0-9]+", value)):
                 kind = max(kind, PART)
     return kind
 
@@ -125,35 +207,40 @@ def _blocks(page: str | None, spared: set[int]) -> tuple[list[tuple[str, str]],
     marked: list[tuple[int, int]] = []  # of each element in the stack: its number, or -1 if not marked; how
     out: list[tuple[str, str]] = []
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, whether dropped, whether in the main element
-    dropped = inside = False
+    lost: list[str] = []  # text of dropped elements within a line; the line goes on behind them
+    kind_held = "open"
+    stack: list[tuple[str, bool, bool, bool]] = []  # element, whether dropped, in the main element, dropped within a line
+    dropped = inside = soft = False
 
     def end() -> None:
-        text = " ".join(html.unescape("".join(held)).split())
-        held.clear()
-        if text:
-            out.append(("dropped" if dropped else "main" if inside else "open", text))
-
-    for found in _TOKEN.finditer(page or ""):
-        text = found["text"]
-        if text is not None:
+        for kind, parts in ((kind_held, held), ("dropped", lost)):
+            text = " ".join(html.unescape("".join(parts)).split())
+            parts.clear()
+            if text:
+                out.append((kind, text))
+
+    for what, tag, attributes, by_slash in _tokens(page or ""):
+        if what == "text" or tag == "br":
+            text = tag if what == "text" else " "
+            if soft:
+                lost.append(text)
+                continue
+            if not held:
+                kind_held = "dropped" if dropped else "main" if inside else "open"
             held.append(text)
             continue
-        if found["tag"] is None:
-            continue
-        tag = found["tag"].lower()
-        if tag == "br":
-            held.append(" ")
+        if tag in RAW:
             continue
-        if tag in BLOCKS or tag in VOID and tag == "hr":
+        if tag in BLOCKS or tag == "hr":
             end()
-        if found["close"]:
+        if what == "close":
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if at is not None and (tag in BLOCKS or not any(s[0] in BLOCKS for s in stack[at:])):
-                if stack[at][1] != dropped or stack[at][2] != inside:
+                before = stack[at - 1] if at else ("", False, False, False)
+                if not stack[at][3] and before[1:3] != stack[at][1:3]:
                     end()
                 del stack[at:], marked[at:]
-        elif tag not in VOID and not found["rest"].endswith("/"):
+        elif tag not in VOID and not by_slash:
             if stack and tag in CLOSED_BY.get(stack[-1][0], ()):
                 stack.pop()
                 marked.pop()
@@ -161,9 +248,9 @@ def _blocks(page: str | None, spared: set[int]) -> tuple[list[tuple[str, str]],
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in BLOCKS), None)
                 if at is not None and stack[at][0] == "p":
                     del stack[at:], marked[at:]
-            was = stack[-1] if stack else ("", False, False)
+            was = stack[-1] if stack else ("", False, False, False)
             number += 1
-            kind = _dropped(tag, found["rest"], was[2])
+            kind = _dropped(tag, attributes, was[2])
             if kind in (PART, WHOLE):
                 if kind == PART:
                     partial.add(number)
@@ -178,13 +265,14 @@ def _blocks(page: str | None, spared: set[int]) -> tuple[list[tuple[str, str]],
                         wrappers[element] = how, tag
             drop = was[1] or kind != NOT
             main = was[2] or tag in MAIN and not drop
-            if drop != dropped or main != inside:
+            within = drop and (was[3] or not was[1]) and tag not in BLOCKS
+            if not within and (drop != dropped or main != inside):
                 end()
-            stack.append((tag, drop, main))
+            stack.append((tag, drop, main, within))
             has_main = has_main or main
         else:
             continue
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, inside, soft = stack[-1][1:] if stack else (False, False, False)
     end()
     return out, wrappers, has_main, partial
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import pytest
@@ -159,3 +160,45 @@ def test_bounds_are_never_below_the_score():
         assert (best._bounds(row, block, np.arange(500)) >= points @ points[row]).all()
     best.take(block)
     assert best.evaluated < 40 * 499
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ('<article><p title="A hidden gem">Kept.</p></article>', "Kept."),
+        ("<article><p data-x='class=\"ad\" hidden'>Kept.</p></article>", "Kept."),
+        ('<article><h2 id="social-contract">Title</h2><section id="related-work"><p class="share-price">Text</p></section></article>', "Title\n\nText"),
+        ('<article><p>Text <span class="ad">Buy now</span> more</p></article>', "Text more"),
+        ("<article><p>Text <button>Share</button>more</p></article>", "Text more"),
+        ("<article><p>Text<span hidden>secret</span> more</p></article>", "Text more"),
+        ("<article><p>a<span class=ad>x<b>y</b>z</span>b</p><p>c</p></article>", "ab\n\nc"),
+        ("<article><div>a<span class=ad><div>x</div>y</span> d</div><p>c</p></article>", "a\n\nd\n\nc"),
+        ("<article><p>a</p><div id=comments>x</div><div class=comments>y</div></article>", "a"),
+        ("<article><p>1 < 2 and <3 &lt; 4</p></article>", "1 < 2 and <3 < 4"),
+        ("<article><p>a<!-- > --> b<!DOCTYPE x>c<? x ?></p></article>", "a bc"),
+        ("<article><script>if (a < b) '</p>'</script><p>a</p><style>p{}</style></article>", "a"),
+        ("<article><p class='x\" href=\"y>z'>a</p></article>", "a"),
+        ("<article><p>a</p><p class='x>b</p></article>", "a\n\nb"),
+        ("<article><a href=/x/>a</a><br/>b<hr>c</article>", "a b\n\nc"),
+    ],
+)
+def test_attributes_and_elements_within_a_line(page, expected):
+    assert "\n\n".join(t for kind, t in pages.blocks_of(page) if kind == "main") == expected
+
+
+@pytest.mark.parametrize("part", ["<a b=' ", "<a b='x' ", "<a '>' ", "<a b=\"' ", "<!-- ", "<", "<script ", "<p>", "</p", "<a =", "<b><i></b>"])
+def test_hostile_markup_is_read_in_one_pass(part):
+    """A page of 1 MB of a fragment takes seconds."""
+    begun = time.perf_counter()
+    list(pages._tokens(part * (1_000_000 // len(part))))
+    assert time.perf_counter() - begun < 20
+    assert list(pages._tokens(part * 3)) is not None
+
+
+def test_tokens_hold_all_text():
+    rng = random.Random(8)
+    for _ in range(500):
+        texts = [rng.choice(["plain", "a &amp; b", "x > y", "it's", 'said "so"']) for _ in range(6)]
+        tags = [rng.choice(["<p>", "</p>", "<b class='a>b'>", '<i title="it\'s">', "<br/>", "<!-- c -->", "<u data-a=\"<p>\">"]) for _ in range(6)]
+        page = "".join(a + b for a, b in zip(texts, tags, strict=True))
+        assert "".join(t for what, t, *_ in pages._tokens(page) if what == "text") == "".join(texts)
