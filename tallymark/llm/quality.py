@@ -79,12 +79,14 @@ def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return held.astype(np.int32), weights[held].astype(np.float32)
 
 
-def train(texts: list[str | None], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> np.ndarray:
-    """One number per bucket and the bias last: the difference of the two outputs."""
+def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> np.ndarray:
+    """One number per bucket and the bias last: the difference of the two outputs.
+
+    ``rows`` holds the features of each document, as ``document_features`` gives them.
+    """
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (BUCKETS, DIMENSIONS)).astype(np.float32)
     output, bias = np.zeros((2, DIMENSIONS), np.float32), np.zeros(2, np.float32)
-    rows = [document_features(t) for t in texts]
     total, done = epochs * len(rows), 0
     for _ in range(epochs):
         for at in rng.permutation(len(rows)):
@@ -126,8 +128,10 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> np.ndarray:
     """Train on at most ``sample`` labelled documents that are not held out.
 
-    The labels are cut to the sample before the texts are read for it, so the broadcast
-    and the one training task are bounded by ``sample`` at any corpus size.
+    The labels are cut to the sample before the texts are read for it, and texts become
+    features (at most a bucket and a weight for each of ``BUCKETS``, however long the text) in the tasks that
+    read them; so the broadcast and the one training task are bounded at any corpus size. Of texts that
+    share an id the one with the least hash is learned from.
     """
     marked = labels.select(F.col(f"`{id_col}`").alias("__key"), F.col(f"`{label_col}`").cast("int").alias("__label"))
     chosen = (
@@ -139,15 +143,27 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         .limit(sample)
     )
     rows = id_and_text(docs, id_col, text_col)
-    chosen_texts = rows.join(F.broadcast(chosen), F.col("__id") == F.col("__key")).select("__id", "__text", "__label").dropDuplicates(["__id"])
+    chosen_texts = rows.join(F.broadcast(chosen), F.col("__id") == F.col("__key")).select("__id", "__text", "__label")
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            made = [document_features(t) for t in batch.column("__text").to_pylist()]
+            columns = [pa.array([x[i].tobytes() for x in made], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__label"), batch.column("__h"), *columns], names=["__id", "__label", "__h", "bucket", "weight"])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    hashed = chosen_texts.withColumn("__h", F.xxhash64(F.coalesce("__text", F.lit(""))))
+    made = hashed.mapInArrow(features, f"__id {kind}, __label int, __h bigint, bucket binary, weight binary")
+    one = made.groupBy("__id", "__label").agg(F.min(F.struct("__h", "bucket", "weight")).alias("f")).select("__id", "__label", "f.bucket", "f.weight")
 
     def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [f for f in frames if len(f)]
         if held:
             frame = pd.concat(held).sort_values("__id", kind="stable")
-            yield pd.DataFrame({"model": [train(frame["__text"].tolist(), frame["__label"].tolist()).tobytes()]})
+            read = [(np.frombuffer(b, np.int32), np.frombuffer(w, np.float32)) for b, w in zip(frame["bucket"], frame["weight"], strict=True)]
+            yield pd.DataFrame({"model": [train(read, frame["__label"].tolist()).tobytes()]})
 
-    found = chosen_texts.repartition(1).mapInPandas(learn, "model binary").first()
+    found = one.repartition(1).mapInPandas(learn, "model binary").first()
     return np.zeros(BUCKETS + 1, np.float32) if found is None else np.frombuffer(bytes(found["model"]), np.float32)
 
 

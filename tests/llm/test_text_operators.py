@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import bpe, licenses, lines, near, packing, phrases, quality, rules
+from tallymark.llm import bpe, licenses, lines, near, packing, phrases, quality, rules, words
 
 VOCABULARY = [f"w{i}" for i in range(400)] + ["é", "日本", "Wörter,", "MIT"]
 
@@ -323,3 +323,41 @@ def test_quality_without_labels_is_undecided(spark, docs, empty):
     model = quality.fit(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
     assert {r.score for r in quality.score(docs, model).collect()} == {0.5}
     assert quality.score(empty, model).count() == 0
+
+
+def _plain_features(text):
+    """Buckets and weights of a text, word by word and gram by gram."""
+    base, spread = 0x9E3779B97F4A7C15 | 1, 1 << 64
+    one = lambda x: int(words.mix(np.array([x % spread], dtype=np.uint64))[0])
+    spell = lambda part: sum((b + 0) * pow(base, i, spread) for i, b in enumerate(part)) % spread
+    found, before, weights = brute.words(text), None, defaultdict(float)
+    for word in found:
+        raw = word.encode()
+        buckets = [one(one(spell(raw) + len(raw))) % quality.BUCKETS] if word != before else [one(0x5A17) % quality.BUCKETS]
+        for size in quality.GRAMS if word != before else ():
+            for at in range(len(raw) - size + 1):
+                edge = (at == 0) + 2 * (at + size == len(raw))
+                buckets.append(one(spell(raw[at : at + size]) ^ edge << 60 ^ size) % quality.BUCKETS)
+        for bucket in buckets:
+            weights[bucket] += 1 / (len(found) * len(buckets))
+        before = word
+    return weights
+
+
+def test_quality_features_and_scores_equal_plain_loops():
+    texts = ["", None, "one", "again again  again", "Ünï cödé 日本 a\nbc", DOCS[0][1]]
+    model = np.random.default_rng(3).normal(size=quality.BUCKETS + 1).astype(np.float32)
+    for text, score in zip(texts, quality.scores(model, texts), strict=True):
+        expected = _plain_features(text)
+        bucket, weight = quality.document_features(text)
+        assert bucket.tolist() == sorted(expected)
+        assert np.allclose(weight, [expected[b] for b in bucket.tolist()], rtol=1e-5)
+        logit = model[-1] + sum(w * model[b] for b, w in expected.items())
+        assert abs(score - 1 / (1 + np.exp(-logit))) < 1e-5
+
+
+def test_quality_of_repeated_ids_is_learned_from_a_fixed_text(spark, docs):
+    labels = docs.select("doc_id").distinct().withColumn("quality", (F.col("doc_id") % 2).cast("int"))
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.lit("other "), "text")))
+    models = [quality.fit(frame, labels) for frame in (twice, twice.repartition(7).orderBy(F.desc("text")))]
+    assert (models[0] == models[1]).all()
