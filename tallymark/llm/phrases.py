@@ -168,7 +168,7 @@ def nominate(codes: DataFrame, groups: int) -> DataFrame:
         new[1:] = (code[1:] != code[:-1]) | (target[1:] != target[:-1]) | (asked[1:] != asked[:-1])
         code, first, target, asked = code[new], first[new], target[new], asked[new]
         names, begins = np.unique(asked, return_index=True)
-        ends = np.append(begins[1:], len(asked))
+        ends = np.append(begins[1:], len(asked))[: len(begins)]
         return pd.DataFrame({
             "__g": names, "shard": np.full(len(names), shard),
             "blocks": [first[a:b].tobytes() for a, b in zip(begins, ends, strict=True)],

@@ -123,10 +123,10 @@ def test_substring_dedup_over_many_shards_and_groups(docs, monkeypatch):
 
 
 def test_substring_dedup_of_short_texts_alone(spark):
-    """Partitions without a single window, one of them for each row."""
-    rows = [(1, "a b c"), (2, None), (3, ""), (4, "x " * 12)]
+    """Partitions without a single window, one of them for each row; windows that nothing shares."""
+    rows = [(1, "a b c"), (2, None), (3, ""), (4, "x " * 12), (5, " ".join(VOCABULARY[:14]))]
     short = spark.createDataFrame(rows, SCHEMA).repartition(4)
-    for docs in (short, short.coalesce(1), short.where("text is null"), short.where("doc_id = 3")):
+    for docs in (short, short.coalesce(1), short.where("text is null"), short.where("doc_id = 3"), short.where("doc_id = 5")):
         out = phrases.drop_repeats(docs, n_words="w", n_removed="r")
         assert bag(tuple(r) for r in out.select("doc_id", "w", "r", "text").collect()) == bag(brute.substring_dedup([tuple(r) for r in docs.select("doc_id", "text").collect()]))
 
