@@ -3,6 +3,12 @@
 A stage takes the session, the documents its predecessor kept, and the folder of the
 sample tables; all but the last return the columns of ``documents``, with ``n_chars``
 following the text. A document whose text is emptied by a stage stays as an empty one.
+
+Defined cases: a null text stays null unless a stage would change it, counts as empty, and is packed
+as its end id alone; rows that repeat an id are documents of their own, except that
+only one of those with the same text and id stays (as of any near copies); a null id counts as the smallest;
+further columns pass through all stages but the last, whatever their names; of an empty
+table nothing is left. Each operator's own docstring says more.
 """
 
 from __future__ import annotations
