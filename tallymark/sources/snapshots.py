@@ -9,15 +9,20 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallymark.functions.measures import total
+from tallymark.functions.measures import MEASURE, total
 from tallymark.lineage import settle
 from tallymark.operators.control import nearest_totals
 from tallymark.operators.keys import PERIOD, PERIOD_KEYS, YEAR
 
 NUMBER, VOLUME = "Number", "SNAPSHOTVOLUME"
+TOTALS = T.StructType(
+    [*[T.StructField(c, T.IntegerType()) for c in (*PERIOD_KEYS, NUMBER)], T.StructField(VOLUME, MEASURE)]
+)
 
 
 class SnapshotStore:
@@ -30,19 +35,27 @@ class SnapshotStore:
         """Store snapshots and their totals; a number stored before is replaced.
 
         Rows go first: a run that dies before the totals leaves rows no choice leads to,
-        and can be repeated.
+        and can be repeated. The totals of a period are one small sorted file.
         """
-        rows = settle(snapshots)
-        keys = [*PERIOD_KEYS, NUMBER]
-        totals = rows.groupBy(*keys).agg(total("Volume").alias(VOLUME))
-        sorted_totals = totals.repartitionByRange(1, *keys).sortWithinPartitions(*keys[:2], VOLUME, NUMBER)
+        rows, keys = settle(snapshots), [*PERIOD_KEYS, NUMBER]
+        made = rows.groupBy(*keys).agg(total("Volume").alias(VOLUME))
+        touched = made.select(*PERIOD_KEYS).distinct()
+        before = self.totals().join(touched, PERIOD_KEYS, "left_semi").join(made, keys, "left_anti")
+        totals = settle(before.unionByName(made)).repartition(*PERIOD_KEYS).sortWithinPartitions(*PERIOD_KEYS, VOLUME, NUMBER)
         spread = rows.repartition(*keys)
-        for name, frame in (("rows", spread), ("totals", sorted_totals)):
+        for name, frame, by in (("rows", spread, keys), ("totals", totals, PERIOD_KEYS)):
             writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy(*keys).parquet(f"{self.root}/{name}")
+            writer.partitionBy(*by).parquet(f"{self.root}/{name}")
 
     def totals(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/totals").select(*PERIOD_KEYS, NUMBER, VOLUME)
+        """One row per snapshot; none before the first is stored."""
+        try:
+            stored = self.spark.read.schema(TOTALS).parquet(f"{self.root}/totals")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], TOTALS)
+        return stored.select(*PERIOD_KEYS, NUMBER, VOLUME)
 
     def nearest(self, controls: DataFrame) -> DataFrame:
         """Rows of the snapshot nearest to each period's control total.
