@@ -72,7 +72,7 @@ def test_near_join_in_small_blocks(docs, monkeypatch):
     assert bag(tuple(r) for r in near.join(docs).collect()) == bag(brute.near(DOCS))
 
 
-def test_prefixes_get_shorter_until_the_target(spark):
+def test_prefixes_get_shorter_until_the_target(spark, monkeypatch):
     rng = random.Random(2)
     pairs = []
     for i in range(150):  # similarities just above the threshold
@@ -84,6 +84,11 @@ def test_prefixes_get_shorter_until_the_target(spark):
     frame = spark.createDataFrame(pairs, SCHEMA)
     got = {r.doc_id: r.class_id for r in near.join(frame, target=0.99999).collect()}
     assert sum(got[2 * i + 1] == 2 * i for i in range(150)) >= 149
+    # The target of the queries asks for shorter prefixes here too.
+    lengths, verify = [], near._verify
+    monkeypatch.setattr(near, "_verify", lambda length, *more: (lengths.append(length), verify(length, *more))[1])
+    near.join(frame).count()
+    assert lengths == [5, 4]
 
 
 def test_keep_one_of_each_class(docs):
