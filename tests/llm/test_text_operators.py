@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 from collections import defaultdict
 
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,6 +190,44 @@ def test_words_are_where_the_library_never_merges(name):
     assert encoder(texts) == expected
 
 
+def test_texts_in_one_row_get_the_ids_of_the_library():
+    rng = random.Random(2)
+    alphabet = "ab Z9\n\t\r\x0b\x1c\x1f\x85\xa0\u1680\u2003\u200b\u2028\u3000'sééÉßΣσİ東ЖאعかҢ한Ꮳ\U0001f600,.!-_ ×ªǃ\u0301"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(5000)]
+    texts += [None, "", "a\n\n\nb\n\n", " a  b ", "  ", "\u2003", "\u2003x", "a\0b c", "don't it's. x's_y'll", "<|endof", "text|>", "\n", "\t", " "]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = bpe.WordEncoder(path)
+    for part in (texts, [*texts, "x<|endoftext|> y", "<|endoftext|>"], [None, ""], []):
+        expected = [e.ids for e in bpe.tokenizer(path).encode_batch([t or "" for t in part], add_special_tokens=False)]
+        column = pa.array(["before", *part, "after"], pa.string()).slice(1, len(part))
+        values, begins = encoder.flat(column)
+        assert [values[a:b].tolist() for a, b in itertools.pairwise(begins.tolist())] == expected
+
+
+def test_letters_are_counted_without_their_marks_and_spared_the_pattern(spark, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(1, "grün, grün. word, word. word!"), (2, "word élevé."), (3, None)], SCHEMA)
+    found = {r["word"]: r["n"] for r in bpe.word_table(docs, path).collect()}
+    assert found == {"grün": 1, " grün": 1, " word": 3, "word": 1, " élevé.": 1, ",": 2, ".": 2, "!": 1}
+    expected = [bpe._packed(e.ids) for e in bpe.tokenizer(path).encode_batch([" grün", "Straße", " élève", " слово"], add_special_tokens=False)]
+    seen = []
+    whole = bpe._ids
+    monkeypatch.setattr(bpe, "_ids", lambda library, text: seen.append(text) or whole(library, text))
+    assert bpe.WordEncoder(path).encode_words([" grün", "Straße", " élève", " слово"]) == expected
+    assert all(not any(c.isalpha() for c in text) for text in seen)
+
+
+def test_ids_that_end_within_a_character_are_decoded_as_by_the_library(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = bpe.tokenizer(path)
+    whole = library.encode("a\U0001f600\u1ccd", add_special_tokens=False).ids
+    rows = [(1, whole), (2, whole[:-1]), (3, whole[2:]), (4, []), (5, None), (6, [50256])]
+    coded = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    out = {r.doc_id: r.decoded for r in bpe.decode(coded, path).collect()}
+    assert out == {i: library.decode(ids or [], skip_special_tokens=False) for i, ids in rows}
+    assert "\ufffd" in out[2] and "\ufffd" in out[3]
+
+
 def test_packing(docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     out = [tuple(r) for r in packing.pack(packing.pieces(docs, path), group_tokens=20_000).collect()]
