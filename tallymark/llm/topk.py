@@ -3,10 +3,14 @@
 Pivots are the vectors of a bounded sample. Every vector has a table of its distances to
 them, made where its block is read. For a query and a candidate each pivot gives a lower bound of
 their distance, |d(q,p) - d(x,p)|, and the largest, with both lengths, bounds the inner product
-from above. Candidates are evaluated in the order of that bound until the k-th best
-score exceeds the next bound, so the result is exact. Of the pivots those next to the query and those next to
+from above. Candidates are evaluated in the order of that bound, and none whose bound is below the k-th best
+score, so the result is exact. Of the pivots those next to the query and those next to
 the candidate are looked at: they give the largest bounds, and any of them gives a valid one.
 
+Neighbouring queries go through a block together, each with bounds and a limit of its own.
+A candidate that the bounds leave to none of them is not evaluated. The others are scored in
+one product of matrices for the whole group; where the bounds leave few pairs, pair by pair.
+
 Candidates are dealt by their nearest pivot, in an order in which near pivots are
 neighbours, into blocks of bounded size; a pivot with too many is split. A task takes a
 block of queries through several blocks of candidates, the likeliest first, and the limit
@@ -47,11 +51,19 @@ BLOCK = 4096
 WIDE_BLOCK = 256
 #: Blocks of candidates that a task takes a block of queries through.
 BLOCKS_A_TASK = 8
+#: Queries that go through a block together.
+GROUP = 32
 #: Candidates evaluated before the first look at the bound; doubled after each look.
 STEP = 256
+#: Pairs of a product of matrices that take the time of a pair alone.
+ALONE = 16
+#: Share of squared lengths added to bounds, so that no rounding, to 32 bits too, lowers one.
+ROUNDING = 2e-6
 #: Scaled components from here on are no numbers for numpy's products.
 WIDE = float(1 << 26)
 LONGEST, LEAST = (1 << 63) - 1, -(1 << 63)
+#: Limits are no larger, so that they are finite doubles; scores of other vectors than wide ones are far smaller.
+MOST = 10**300
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -95,9 +107,17 @@ def choose_pivots(table: DataFrame, scale: int, count: int = PIVOTS) -> np.ndarr
 
 
 def _distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Of points with whole components, in 32 bits if these hold every step before the root exactly."""
     width = max(points.shape[1], pivots.shape[1])
     a, b = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (points, pivots))
-    return np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1) - 2 * a @ b.T, 0))
+    of_a, of_b = (a**2).sum(1), (b**2).sum(1)
+    if of_a.max(initial=0) + of_b.max(initial=0) < 2**23:
+        a, b, of_a, of_b = (m.astype(np.float32) for m in (a, b, of_a, of_b))
+    out = a @ b.T
+    out *= -2
+    out += of_a[:, None]
+    out += of_b
+    return np.sqrt(np.maximum(out, 0, out=out), out=out)
 
 
 def with_home(table: DataFrame, pivots: np.ndarray, scale: int) -> DataFrame:
@@ -134,44 +154,51 @@ def in_blocks(rows: DataFrame, block: int) -> tuple[DataFrame, int]:
     dealt = rows.join(known, "__home").withColumn("__block", (F.col("first") + F.pmod(F.xxhash64("__id"), F.col("splits"))).cast("int"))
 
     def pack(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("__id")
+        frame = frame.sort_values(["__home", "__id"])  # so that neighbours make up a group
         points = _matrix(pa.array(frame["__x"].tolist(), pa.list_(pa.float64())))
         return pd.DataFrame({"block": [int(frame["__block"].iloc[0])], "width": [points.shape[1]], "ids": [frame["__id"].to_numpy(np.int64).tobytes()], "points": [points.tobytes()]})
 
-    packed = dealt.select("__block", "__id", "__x").groupBy("__block").applyInPandas(pack, "block int, width int, ids binary, points binary")
+    packed = dealt.select("__block", "__home", "__id", "__x").groupBy("__block").applyInPandas(pack, "block int, width int, ids binary, points binary")
     return packed, max(blocks, 1)
 
 
 @dataclass
 class Block:
-    """Ids, scaled vectors, and the table of distances to the pivots, pivot by pivot."""
+    """Ids, scaled vectors, the table of distances to the pivots, pivot by pivot, the nearest pivots with their distances, and half the squared lengths."""
 
     ids: np.ndarray
     points: np.ndarray
     table: np.ndarray
     near: np.ndarray
-    norms: np.ndarray
+    away: np.ndarray
+    half: np.ndarray
 
     @classmethod
     def read(cls, ids: bytes, points: bytes, width: int, pivots: np.ndarray, scale: int, near: int) -> Block:
         names = np.frombuffer(ids, np.int64)
         scaled = _scaled(np.frombuffer(points, np.float64).reshape(len(names), width), scale)
+        table = np.zeros((len(pivots), len(names)), np.float32)
         if scaled.dtype == object:
-            none = np.zeros((len(pivots), len(names)), np.float32)
-            return cls(names, scaled, none, none[:0].T.astype(np.int64), np.zeros(len(names)))
-        far = _distances(scaled, pivots)
+            return cls(names, scaled, table, table[:0].astype(np.int64), table[:0], np.zeros(len(names), np.float32))
         count = min(near, len(pivots))
-        nearest = np.argpartition(far, count - 1, axis=1)[:, :count]
-        return cls(names, scaled, np.ascontiguousarray(far.T, dtype=np.float32), nearest, (scaled**2).sum(1))
+        nearest = np.empty((count, len(names)), np.int64)
+        for begin in range(0, len(names), 256):
+            far = _distances(scaled[begin : begin + 256], pivots)
+            nearest[:, begin : begin + 256] = np.argpartition(far, count - 1, axis=1)[:, :count].T
+            table[:, begin : begin + 256] = far.T
+        return cls(names, scaled, table, nearest, table[nearest, np.arange(len(names))], ((0.5 + ROUNDING) * (scaled**2).sum(1)).astype(np.float32))
 
 
 class Best:
-    """The k best so far of each query of a block; ``evaluated`` counts the candidates scored."""
+    """The k best so far of each query of a block; ``evaluated`` counts the pairs scored."""
 
     def __init__(self, queries: Block, k: int, longest_pivot: float):
-        self.queries, self.k, self.slack, self.evaluated = queries, k, longest_pivot, 0
-        self.ids = [np.zeros(0, np.int64)] * len(queries.ids)
-        self.scores = [np.zeros(0, np.int64)] * len(queries.ids)
+        self.queries, self.k, self.evaluated = queries, k, 0
+        self.far, self.half = np.ascontiguousarray(queries.table.T), queries.half + np.float32(ROUNDING * (longest_pivot + 1))
+        #: By group: places of the queries in it, ids and scores, best first.
+        self.found: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        #: Of each query the k-th best score so far, and its id.
+        self.limit, self.last = np.full(len(queries.ids), -math.inf), np.zeros(len(queries.ids), np.int64)
 
     def take(self, block: Block) -> None:
         """Every query through one block of candidates."""
@@ -184,58 +211,91 @@ class Best:
             exact = np.float32 if largest < 2**23 else np.float64 if largest < 2**52 else np.int64 if largest < 2**62 else object
         wide = exact is object
         q, x = ((m.astype(np.int64) if wide and m.dtype != object else m).astype(exact) for m in (q, x))
-        own = np.arange(len(block.ids))
-        for row in range(len(q)):
-            bound = None if wide and (self.queries.points.dtype == object or block.points.dtype == object) else self._bounds(row, block, own)
-            self._take(row, block, q[row], x, bound)
+        bounded = self.queries.points.dtype != object and block.points.dtype != object
+        for begin in range(0, len(q), GROUP):
+            self._take(begin, block, q[begin : begin + GROUP], x, bounded)
 
-    def _bounds(self, row: int, block: Block, own: np.ndarray) -> np.ndarray:
+    def _bounds(self, row: int, block: Block, own: np.ndarray | slice) -> np.ndarray:
         """The most that each candidate's score can be."""
-        far, gap = self.queries.table[:, row], np.zeros(len(block.ids), np.float32)
-        for pivot in self.queries.near[row]:
-            np.maximum(gap, np.abs(block.table[pivot] - far[pivot]), out=gap)
-        for pivot in block.near.T:
-            np.maximum(gap, np.abs(far[pivot] - block.table[pivot, own]), out=gap)
-        norms = self.queries.norms[row] + block.norms
-        # Rounding, to 32 bits too, never lowers a bound.
-        return (norms - gap.astype(np.float64) ** 2) / 2 + 1e-6 * (norms + self.slack) + 1e-6
-
-    def _take(self, row: int, block: Block, query: np.ndarray, x: np.ndarray, bound: np.ndarray | None) -> None:
-        ids, found = self.ids[row], self.scores[row]
-        other = block.ids != self.queries.ids[row]
-        if bound is None:
-            order, short = np.flatnonzero(other), None
+        far, near = self.far[row], self.queries.near[:, row]
+        by_query = block.table[near][:, own]
+        by_query -= far[near][:, None]
+        by_candidate = far[block.near[:, own]]
+        by_candidate -= block.away[:, own]
+        gap = np.maximum(np.abs(by_query, out=by_query).max(0), np.abs(by_candidate, out=by_candidate).max(0))
+        return block.half[own] + self.half[row] - gap * gap * np.float32(0.5)
+
+    def _take(self, begin: int, block: Block, q: np.ndarray, x: np.ndarray, bounded: bool) -> None:
+        """A group of queries, from ``begin`` on."""
+        limit = self.limit[begin : begin + len(q)]
+        bound, order = None, np.arange(len(block.ids))
+        if bounded:
+            bound = np.stack([self._bounds(row, block, slice(None)) for row in range(begin, begin + len(q))])
+            order = np.argsort(-bound.max(0))
+        at, step = 0, STEP
+        while at < len(order):
+            part, at, step = order[at : at + step], at + step, 2 * step
+            wanted = np.ones((len(q), len(part)), bool)
+            if bound is not None:
+                wanted = bound[:, part] >= _rounded(limit, bound)[:, None]
+                left = wanted.any(0)
+                part, wanted = part[left], wanted[:, left]
+            if not len(part):
+                continue
+            if wanted.sum() * ALONE < wanted.size:
+                rows, places = np.nonzero(wanted)
+                scores = np.einsum("ij,ij->i", q[rows], x[part[places]])
+                self.evaluated += len(rows)
+            else:
+                scored = q @ x[part].T
+                self.evaluated += scored.size
+                rows, places = np.nonzero(self._good(scored, limit))
+                scores = scored[rows, places]
+            self._merge(begin, rows, block.ids[part[places]], scores)
+
+    def _good(self, scored: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Which scores may be among the k best of their row."""
+        if scored.dtype == object:
+            return np.ones(scored.shape, bool)
+        least = _rounded(limit, scored)
+        if np.isinf(limit).any() and scored.shape[1] > self.k + 1:  # one may be the query itself
+            least = np.maximum(least, np.partition(scored, -self.k - 1, axis=1)[:, -self.k - 1].astype(least.dtype))
+        return scored >= least[:, None]
+
+    def _merge(self, begin: int, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Candidates of a group among its best ones."""
+        keep = ids != self.queries.ids[begin + rows]
+        if scores.dtype != object:
+            scores, limit = scores.astype(np.int64), self.limit[begin + rows]
+            keep &= ~((scores == limit) & (np.abs(limit) < 2**53) & (ids > self.last[begin + rows]))
+        if not keep.any():
+            return
+        new = rows[keep], ids[keep], scores[keep]
+        rows, ids, scores = (np.concatenate(x) for x in zip(self.found[begin], new, strict=True)) if begin in self.found else new
+        if scores.dtype == object:
+            best = np.array(sorted(range(len(rows)), key=lambda i: (rows[i], -scores[i], ids[i])), dtype=np.int64)
         else:
-            left = np.flatnonzero(other & (bound >= float(found[-1]))) if len(found) == self.k else np.flatnonzero(other)
-            short = bound[left]
-            ranked = np.argsort(-short)
-            order, short = left[ranked], short[ranked]
-        begin, step = 0, STEP
-        while begin < len(order) and not (short is not None and len(found) == self.k and float(found[-1]) > short[begin]):
-            part = order[begin : begin + step]
-            scored = x[part] @ query
-            scored = scored if scored.dtype == object else scored.astype(np.int64)
-            self.evaluated += len(part)
-            ids, found = np.concatenate((ids, block.ids[part])), np.concatenate((found, scored))
-            best = _first(found, ids, self.k)
-            ids, found = ids[best], found[best]
-            begin, step = begin + step, 2 * step
-        self.ids[row], self.scores[row] = ids, found
+            best = np.lexsort((ids, -scores, rows))
+        place = np.arange(len(rows)) - np.searchsorted(rows[best], rows[best])
+        best, place = best[place < self.k], place[place < self.k]
+        rows, ids, scores = rows[best], ids[best], scores[best]
+        if scores.dtype == object and all(abs(s) < 2**62 for s in scores):
+            scores = scores.astype(np.int64)
+        self.found[begin] = rows, ids, scores
+        full = place == self.k - 1
+        self.limit[begin + rows[full]] = [float(min(max(s, -MOST), MOST)) for s in scores[full].tolist()]
+        self.last[begin + rows[full]] = ids[full]
 
     def rows(self) -> Iterator[tuple[int, int, int, str]]:
-        for query, ids, scores in zip(self.queries.ids.tolist(), self.ids, self.scores, strict=True):
-            for i, s in zip(ids.tolist(), scores.tolist(), strict=True):
+        for begin, (rows, ids, scores) in self.found.items():
+            for query, i, s in zip(self.queries.ids[begin + rows].tolist(), ids.tolist(), scores.tolist(), strict=True):
                 yield query, i, min(max(s, LEAST), LONGEST), in_order(s)
 
 
-def _first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best, ties to the smaller id."""
-    if scores.dtype == object:
-        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i]))[:k], dtype=np.int64)
-    if len(scores) > 4 * k:  # what is below the k-th best is left out before sorting
-        keep = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-        return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
-    return np.lexsort((ids, -scores))[:k]
+def _rounded(limit: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Limits as numbers of that kind, of 64 bits for integers: a number of the kind that reaches the limit reaches the rounded one."""
+    with np.errstate(over="ignore"):
+        return limit.astype(like.dtype if like.dtype == np.float32 else np.float64)
 
 
 def in_order(number: int) -> str:

@@ -162,6 +162,39 @@ def test_bounds_are_never_below_the_score():
     assert best.evaluated < 40 * 499
 
 
+def test_queries_go_through_a_block_in_groups(monkeypatch):
+    """A call for each query made the CPU seconds grow as the input to the power 1.37; bounds and limits stay each query's own."""
+    import numpy as np
+
+    monkeypatch.setattr(topk, "STEP", 32)
+    calls, take = [], topk.Best._take
+    monkeypatch.setattr(topk.Best, "_take", lambda self, *a: calls.append(1) or take(self, *a))
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 12))
+    for size in (1, 1 << 12, 1 << 20):  # products in 32 and 64 bits, and as integers
+        centre = np.sort(rng.integers(0, 40, 3000))
+        points = centres[centre] + 0.1 * rng.normal(size=(3000, 12))
+        points = np.floor(64 * size * points / np.linalg.norm(points, axis=1)[:, None])
+        points[1200:1260] = points[1200]  # copies: ties go to the smaller id
+        points[1800:1815] = 0
+        ids = rng.permutation(3000) * 7 - 500
+        pivots = np.unique(points[::25], axis=0)
+        pack = lambda at: (ids[at].tobytes(), (points[at] / 64).tobytes(), 12, pivots, 64)  # noqa: E731, B023
+        queries = np.arange(0, 3000, 10)
+        calls.clear()
+        best = topk.Best(topk.Block.read(*pack(queries), topk.NEAR_QUERY), 20, float((pivots**2).sum(1).max()))
+        for begin in range(0, 3000, 1000):
+            best.take(topk.Block.read(*pack(np.arange(begin, begin + 1000)), topk.NEAR_CANDIDATE))
+        assert len(calls) == 3 * 10
+        assert best.evaluated < 0.7 * 300 * 3000
+        scores = points[queries].astype(np.int64) @ points.astype(np.int64).T
+        expected = []
+        for row, query in enumerate(queries):
+            order = sorted((-s, i) for s, i in zip(scores[row].tolist(), ids.tolist(), strict=True) if i != ids[query])
+            expected += [(ids[query], i, -s) for s, i in order[:20]]
+        assert sorted(r[:3] for r in best.rows()) == sorted(expected)
+
+
 @pytest.mark.parametrize(
     ("page", "expected"),
     [
